@@ -231,7 +231,7 @@ def _rows(kind: str, a, b=None, **more) -> pa.RecordBatch:
     n = len(a)
     binary = lambda x: pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) if x is not None else pa.nulls(n, pa.binary())
     col = lambda c, t: more[c] if isinstance(more.get(c), pa.Array) else pa.array(more[c], t) if c in more else pa.nulls(n, t)
-    return pa.RecordBatch.from_pydict({"kind": pa.array([kind] * n), "a": binary(a), "b": binary(b), "doc_id": col("doc_id", pa.int64()), "n": col("n", pa.int64()), "token": col("token", pa.int64()), "band": col("band", pa.int32())})
+    return pa.RecordBatch.from_pydict({"kind": pa.array([kind] * n, pa.string()), "a": binary(a), "b": binary(b), "doc_id": col("doc_id", pa.int64()), "n": col("n", pa.int64()), "token": col("token", pa.int64()), "band": col("band", pa.int32())})
 
 
 # ---- 3: products inside blocks --------------------------------------------------------------------------------------
