@@ -14,6 +14,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 #: Bytes of text that are hashed at once; keeps the temporaries of one step near the CPU's cache.
@@ -46,6 +47,18 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: The id under which a null doc_id is sorted.
+NULL_ID = -(1 << 63)
+
+
+def single(docs: DataFrame) -> DataFrame:
+    """doc_id and text, one row for each doc_id (a null one as NULL_ID); only where ids repeat are rows grouped."""
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return docs
+    return docs.groupBy("doc_id").agg(F.max("text").alias("text"))
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and row offsets into them, without copying; null is empty."""
     array = batch.column(column)

@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, Prefix, mix, row_slices, stored, texts, width
+from .blocks import NULL_ID, U64, Prefix, mix, row_slices, single, stored, texts, width
 
 SPAN, K = 100, 28
 #: Documents are sampled for splitters at this rate, at least one of so many and up to so many suffixes in all.
@@ -41,16 +41,6 @@ SAMPLE, SAMPLED = 0.01, 20_000
 _LOW = U64((1 << 24) - 1)
 #: Window starts that one segment of a long document has at most; below 2**24.
 _SEGMENT = 4 << 20
-#: The id under which a null doc_id is sorted.
-NULL_ID = -(1 << 63)
-
-
-def single(docs: DataFrame) -> DataFrame:
-    """doc_id and text, one row for each doc_id; only where ids repeat are rows grouped."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return docs
-    return docs.groupBy("doc_id").agg(F.max("text").alias("text"))
 
 
 def anchors(data: np.ndarray, off: np.ndarray, span: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
