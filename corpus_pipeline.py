@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pagewarden.llm import exact_dedup, toxicity
+from pagewarden.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
 from pagewarden.llm.blocks import stored
 
 
@@ -19,8 +20,32 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7 on five-word shingles at 0.8: of each group of near copies the row with the smallest doc_id stays."""
+    groups = ngram_join.join(docs, n=5, percent=80)
+    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: documents with ten consecutive words of a benchmark item (or a whole shorter item) go."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: a batch and a place in it for every document that is left."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+#: Toxicity is a fitted model and packing a dynamic programme; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
