@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, ngram_join, packing, rollups, sstable, suffix_dedup, toxicity
+from . import chat, decontaminate, exact_dedup, lm, ngram_join, packing, rollups, sstable, suffix_dedup, toxicity
 from .blocks import stored
 
 
@@ -53,6 +53,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), toxicity.held_out(F.col("doc_id"), 7, 2))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_chat": op5_chat,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_ngram_join": op7_ngram_join,
+    "op8_lm": op8_lm,
     "op9_decontamination": op9_decontamination,
     "op10_rollups": op10_rollups,
 }
