@@ -40,7 +40,7 @@ SPAN, K = 100, 28
 SAMPLE, SAMPLED = 0.01, 20_000
 _LOW = U64((1 << 24) - 1)
 #: Window starts that one segment of a long document has at most; below 2**24.
-_SEGMENT = 4 << 20
+_SEGMENT = 1 << 20
 
 
 def anchors(data: np.ndarray, off: np.ndarray, span: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -126,7 +126,7 @@ class Splitters:
 def _suffixes(batch: pa.RecordBatch, span: int, k: int) -> Iterator[list[np.ndarray]]:
     ids = np.asarray(batch.column("doc_id")).astype(np.int64)
     data, off = texts(batch)
-    for a, b in row_slices(off):
+    for a, b in row_slices(off, _SEGMENT):
         for t0, t1, row, start, more in anchors(data, off[a : b + 1], span, k):
             yield [t0, t1, ids[a + row], start.astype(np.uint32), more.astype(np.uint8)]
 
@@ -162,7 +162,7 @@ def _deal(split: Splitters, span: int, k: int):
             held: list[list[np.ndarray]] = []
             for columns in _suffixes(batch, span, k):
                 held.append(columns)
-                if sum(len(c[0]) for c in held) > 200_000:
+                if sum(len(c[0]) for c in held) > 100_000:
                     _send(held, split, where, payload)
                     held = []
             if held:
