@@ -8,8 +8,8 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Chunks whose ids one process keeps at most; beyond it the table starts afresh.
-KEPT = 400_000
+#: Chunks whose ids one process keeps at most in each of two generations.
+KEPT = 500_000
 #: Characters of a text that are cut into chunks at once.
 PIECE = 1 << 20
 
@@ -20,9 +20,30 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Kept:
+    """Ids of chunks in two generations: a full table becomes the old one, whose entries move up when they are met again."""
+
+    def __init__(self, most: int):
+        self.now: dict = {}
+        self.old: dict = {}
+        self.most = most
+
+    def missing(self, chunks: set) -> list:
+        """Makes room, moves up what the old generation has, and says what neither has."""
+        new = chunks - self.now.keys()
+        if len(self.now) + len(new) > self.most:
+            self.old, self.now = self.now, {}
+            new = chunks
+        known = new & self.old.keys()
+        for c in known:
+            self.now[c] = self.old[c]
+        return list(new - known)
+
+
 class Subwords:
     """Encodes with the tokenizers library. A byte-level BPE never merges over a space between two other characters, so
-    chunks from one such space to the next are encoded apart and their ids kept."""
+    chunks from one such space to the next are encoded apart and their ids kept. Chunks to be learned are encoded as one
+    text and told apart by the space that only their first id holds."""
 
     def __init__(self, path: str, kept: int = KEPT):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -30,21 +51,37 @@ class Subwords:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.kept = kept
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-
-    def _learn(self, table: dict[str, bytes], chunks: set[str], lead: str) -> None:
-        new = [c for c in chunks if c not in table]
-        if len(table) + len(new) > self.kept:
-            table.clear()
-            new = list(chunks)
-        for at in range(0, len(new), 10_000):
-            some = new[at : at + 10_000]
-            for c, e in zip(some, self.tokenizer.encode_batch([lead + c for c in some], add_special_tokens=False)):
-                table[c] = np.array(e.ids, self.kind).tobytes()
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.spaced[i] = token.startswith("Ġ")
+        self.first, self.later, self.words = _Kept(kept // 4), _Kept(kept), _Kept(kept)
+        self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _spaced(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk with a space before it."""
+        out = []
+        for at in range(0, len(chunks), 2000):
+            some = chunks[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, self.kind)
+            begin = np.flatnonzero(self.spaced[ids])
+            if len(begin) == len(some):
+                raw, wide = ids.tobytes(), ids.itemsize
+                edge = (np.append(begin, len(ids)) * wide).tolist()
+                out += [raw[a:b] for a, b in zip(edge, edge[1:])]
+            else:
+                out += [self._one(" " + c) for c in some]
+        return out
+
+    def _learn(self, kept: _Kept, chunks: set[str]) -> None:
+        new = kept.missing(chunks)
+        odd = [c for c in new if not c or c[-1].isspace() or c[0].isspace() or " " in c]
+        plain = list(set(new) - set(odd)) if odd else new
+        kept.now.update(zip(plain, self._spaced(plain)))
+        kept.now.update((c, self._one(" " + c)) for c in odd)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``kind``."""
@@ -64,25 +101,23 @@ class Subwords:
         out = []
         for at in range(0, len(texts), 500):
             split = [t.split() for t in texts[at : at + 500]]
-            fresh = {w for s in split for w in s if w not in self.words}
-            if len(self.words) + len(fresh) > self.kept:
-                self.words.clear()
-                fresh = {w for s in split for w in s}
-            new = list(fresh)
-            for k in range(0, len(new), 10_000):
-                some = new[k : k + 10_000]
-                for w, e in zip(some, self.tokenizer.encode_batch([" " + w.decode("utf-8", "replace") for w in some], add_special_tokens=False)):
-                    self.words[w] = np.array(e.ids, self.kind).tobytes()
-            get = self.words.__getitem__
+            new = self.words.missing(set().union(*split))
+            text = [w.decode("utf-8", "replace") for w in new]
+            odd = {w for w, t in zip(new, text) if t[0].isspace() or t[-1].isspace()}
+            plain = [(w, t) for w, t in zip(new, text) if w not in odd]
+            self.words.now.update(zip((w for w, _ in plain), self._spaced([t for _, t in plain])))
+            self.words.now.update((w, self._one(" " + w.decode("utf-8", "replace"))) for w in odd)
+            get = self.words.now.__getitem__
             out += [b"".join(map(get, s)) for s in split]
         return out
 
     def _encode(self, pieces: list[tuple[bool, str]]) -> list[bytes]:
         split = [_CUT.split(p) if _UNSAFE.search(p) else p.split(" ") for _, p in pieces]
-        self._learn(self.first, {s[0] for s, (begins, _) in zip(split, pieces) if begins}, "")
-        self._learn(self.later, set().union(*(s[1:] if begins else s for s, (begins, _) in zip(split, pieces))), " ")
-        get = self.later.__getitem__
-        return [(self.first[s[0]] if begins else get(s[0])) + b"".join(map(get, s[1:])) for s, (begins, _) in zip(split, pieces)]
+        begun = {s[0] for s, (begins, _) in zip(split, pieces) if begins}
+        self.first.now.update((c, self._one(c)) for c in self.first.missing(begun))
+        self._learn(self.later, set().union(*(s[1:] if begins else s for s, (begins, _) in zip(split, pieces))))
+        get = self.later.now.__getitem__
+        return [(self.first.now[s[0]] if begins else get(s[0])) + b"".join(map(get, s[1:])) for s, (begins, _) in zip(split, pieces)]
 
 
 #: A space beside white space or at an end, and a space between two other characters.
