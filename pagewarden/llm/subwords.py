@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Chunks whose ids one process keeps at most in each of two generations.
-KEPT = 500_000
+KEPT = 300_000
 #: Characters of a text that are cut into chunks at once.
 PIECE = 1 << 20
 
@@ -134,5 +134,13 @@ def _pieces(text: str) -> list[tuple[bool, str]]:
 
 
 @lru_cache(maxsize=2)
-def subwords(path: str) -> Subwords:
+def _loaded(path: str) -> Subwords:
     return Subwords(path)
+
+
+def subwords(path: str) -> Subwords:
+    """The process's encoder, with nothing kept of an earlier task."""
+    out = _loaded(path)
+    for kept in (out.first, out.later, out.words):
+        kept.now, kept.old = {}, {}
+    return out

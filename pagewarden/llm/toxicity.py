@@ -85,17 +85,18 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = LABELS) -> DataFrame:
 def _count_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of toxic rows: for each term the documents with it and up to eight different neighbourhoods."""
     for batch in batches:
-        docs: dict[str, int] = {}
-        seen: dict[str, set[str]] = {}
-        for text in batch.column("text").to_pylist():
-            words = fold(text or "").split()
-            for term in {t for t, _ in _terms(words)}:
-                docs[term] = docs.get(term, 0) + 1
-            for term, i in _terms(words):
-                around = seen.setdefault(term, set())
-                if len(around) < 8:
-                    around.add(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}")
-        yield pa.RecordBatch.from_pydict({"term": pa.array(list(docs), pa.string()), "pos": pa.array(list(docs.values()), pa.int64()), "around": pa.array([sorted(seen[t]) for t in docs], pa.list_(pa.string()))})
+        for at in range(0, batch.num_rows, 200):  # few texts at a time: each new term takes some hundred bytes
+            docs: dict[str, int] = {}
+            seen: dict[str, set[str]] = {}
+            for text in batch.column("text").slice(at, 200).to_pylist():
+                words = fold(text or "").split()
+                for term in {t for t, _ in _terms(words)}:
+                    docs[term] = docs.get(term, 0) + 1
+                for term, i in _terms(words):
+                    around = seen.setdefault(term, set())
+                    if len(around) < 8:
+                        around.add(f"{words[i - 1] if i else ''} {words[i + 1] if i + 1 < len(words) else ''}")
+            yield pa.RecordBatch.from_pydict({"term": pa.array(list(docs), pa.string()), "pos": pa.array(list(docs.values()), pa.int64()), "around": pa.array([sorted(seen[t]) for t in docs], pa.list_(pa.string()))})
 
 
 def _count_clean(terms: frozenset[str]):
