@@ -1,10 +1,585 @@
-"""Queries over the engine's operators, by name, with the SQL that gives the same rows."""
+"""Queries over the engine's operators, by name, with the SQL that gives the same rows.
+
+The tables stand in for the engine's own: events are fetches (a user is a URL, a day a run), orders link customers (URLs) to
+resources, nations are areas, customers programs, pages and documents page contents.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import codes, dates, decisions, html, http, names, urls
+from .functions import vocab as V
+from .plans import relational, report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- views that several queries share --------------------------------------------------------------------------------
+
+NOW = "1997-07-01 00:00:00"
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as fetch history."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    status = F.when(F.col("event_type").isin("view", "purchase"), 200).when(F.col("event_type") == "click", 304).when(F.col("event_type") == "signup", 404).otherwise(503)
+    e = e.select("event_id", "user_id", "ts", "value", k.alias("k"), status.alias("http_status"))
+    network = (F.col("http_status") == 503) & (F.col("k") % 2 == 0)
+    kind = F.when(F.col("k") % 3 == 0, "timeout").when(F.col("k") % 3 == 1, "dns").otherwise("connect")
+    return e.select(
+        "event_id", F.col("user_id").alias("url_id"), F.concat(F.lit("h"), (F.col("user_id") % 10).cast("string")).alias("host"), F.to_date("ts").alias("run_id"), F.col("ts").alias("fetched_at"), "http_status", "k",
+        F.when(network, "network").otherwise("response").alias("outcome"), F.when(network, F.concat(kind, F.lit(": x"))).alias("error_detail"), F.floor(F.col("value") * 10).cast("long").alias("response_time_ms"), F.floor(F.col("value") * 100).cast("long").alias("bytes"),
+        (F.col("k") % 7 == 0).alias("charset_replaced"), F.when(F.col("http_status") == 200, F.col("k").cast("string")).alias("body_hash"), F.lit(None).cast("string").alias("raw_hash"),
+        F.when(F.col("http_status").isin(200, 304), "alive").when(F.col("http_status") == 404, "not_found").alias("observation"),
+    )
+
+
+HIST = """WITH e AS (SELECT event_id, user_id, ts, value, (props->>'$.k')::INT AS k, CASE WHEN event_type IN ('view', 'purchase') THEN 200 WHEN event_type = 'click' THEN 304 WHEN event_type = 'signup' THEN 404 ELSE 503 END AS http_status FROM events),
+n AS (SELECT *, http_status = 503 AND k % 2 = 0 AS net FROM e),
+hist AS (SELECT event_id, user_id AS url_id, 'h' || (user_id % 10)::VARCHAR AS host, ts::DATE AS run_id, ts AS fetched_at, http_status, k, CASE WHEN net THEN 'network' ELSE 'response' END AS outcome,
+ CASE WHEN net THEN (CASE WHEN k % 3 = 0 THEN 'timeout' WHEN k % 3 = 1 THEN 'dns' ELSE 'connect' END) || ': x' END AS error_detail, floor(value * 10)::BIGINT AS response_time_ms, floor(value * 100)::BIGINT AS bytes, k % 7 = 0 AS charset_replaced,
+ CASE WHEN http_status = 200 THEN k::VARCHAR END AS body_hash, CASE WHEN http_status IN (200, 304) THEN 'alive' WHEN http_status = 404 THEN 'not_found' END AS observation FROM n)
+"""
+
+
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as links of URLs to resources, each with its resource's state."""
+    state = F.when(F.col("o_orderstatus") == "F", "deleted").when(F.col("o_orderstatus") == "P", "deletion_candidate").otherwise("active")
+    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("url_id"), F.col("o_orderkey").alias("resource_id"), F.col("o_orderdate").alias("observed_at"), state.alias("state"), "o_totalprice", "o_orderpriority")
+
+
+LINKS = """WITH links AS (SELECT o_custkey AS url_id, o_orderkey AS resource_id, o_orderdate AS observed_at, CASE o_orderstatus WHEN 'F' THEN 'deleted' WHEN 'P' THEN 'deletion_candidate' ELSE 'active' END AS state, o_totalprice, o_orderpriority FROM orders),
+cur AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY url_id ORDER BY observed_at DESC, resource_id DESC) AS rn FROM links) WHERE rn = 1)
+"""
+
+
+def current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relational.latest(links(spark, sf_dir), "url_id", "observed_at", "resource_id")
+
+
+def queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as the URL queue: one row for each event, by user's host."""
+    h = history(spark, sf_dir)
+    status = F.when(F.col("k") % 11 == 0, "processing").when(F.col("k") % 5 == 0, "retry_wait").when(F.col("k") % 13 == 0, "retired").when(F.col("http_status") == 404, "failed_final").otherwise("queued")
+    return h.select("event_id", F.concat(F.lit("q"), (F.col("url_id") % 97).cast("string")).alias("host_key"), status.alias("status"), (F.col("k") % 4).alias("priority"), F.col("fetched_at").alias("next_crawl_at"), F.when(F.col("k") % 11 == 0, F.col("fetched_at") + F.expr("INTERVAL 1 DAY")).alias("lease_until"), (F.col("event_id") % 4000).alias("resource_id")).withColumnRenamed("event_id", "url_id")
+
+
+QUEUE = HIST + """, q AS (SELECT event_id AS url_id, 'q' || (url_id % 97)::VARCHAR AS host_key, CASE WHEN k % 11 = 0 THEN 'processing' WHEN k % 5 = 0 THEN 'retry_wait' WHEN k % 13 = 0 THEN 'retired' WHEN http_status = 404 THEN 'failed_final' ELSE 'queued' END AS status, k % 4 AS priority, fetched_at AS next_crawl_at, CASE WHEN k % 11 = 0 THEN fetched_at + INTERVAL 1 DAY END AS lease_until, event_id % 4000 AS resource_id FROM hist),
+now AS (SELECT max(fetched_at) - INTERVAL 10 DAY AS t FROM hist)
+"""
+
+
+def clock(h: DataFrame):
+    """A fixed present: ten days before the last fetch (a single value)."""
+    return F.lit(h.agg(F.max("fetched_at") - F.expr("INTERVAL 10 DAY")).first()[0])
+
+
+# ---- serving ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT n_nationkey, n_name FROM nation ORDER BY n_nationkey")
+def areas_list(spark, d):
+    return table(spark, d, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey")
+
+
+@query("SELECT n_nationkey, n_name, r_name AS parent_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey")
+def area_parent(spark, d):
+    """Areas with the area above, where there is one (a registry finds it by the first two digits of the code)."""
+    return table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left").select("n_nationkey", "n_name", F.col("r_name").alias("parent_name"))
+
+
+@query(LINKS + """SELECT c_custkey, c_name, n_name AS area, cur.resource_id, cur.state, coalesce(cur.o_orderpriority, 'none') AS priority FROM customer JOIN nation ON c_nationkey = n_nationkey LEFT JOIN cur ON cur.url_id = c_custkey
+WHERE n_nationkey IN (7, 2) AND (c_acctbal IS NULL OR c_acctbal >= 0) AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')""")
+def area_programs_facts(spark, d):
+    """Programs of an area and the one above it, by an open range and a tag, each with its current resource."""
+    c = table(spark, d, "customer").where("c_nationkey IN (7, 2) AND (c_acctbal IS NULL OR c_acctbal >= 0)").where(F.array_contains(F.array(F.lit("BUILDING"), F.lit("MACHINERY"), F.lit("AUTOMOBILE")), F.col("c_mktsegment")))
+    cur = current(spark, d)
+    out = c.join(table(spark, d, "nation").where("n_nationkey IN (7, 2)"), F.col("c_nationkey") == F.col("n_nationkey")).join(cur, F.col("c_custkey") == F.col("url_id"), "left")
+    return out.select("c_custkey", "c_name", F.col("n_name").alias("area"), "resource_id", "state", F.coalesce("o_orderpriority", F.lit("none")).alias("priority")).orderBy("area", "c_name", "c_custkey")
+
+
+@query("SELECT p_partkey, coalesce(low, -1) AS low, coalesce(high, -1) AS high FROM (SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_size END AS low, CASE WHEN p_size % 7 = 0 THEN NULL ELSE (p_size // 2 + 3 + 1) * 12 END AS high FROM part) WHERE (low IS NULL OR low <= 18) AND (high IS NULL OR high > 18)")
+def age_range_null_tolerant(spark, d):
+    p = table(spark, d, "part")
+    low = codes.age_min_months(F.when(F.col("p_size") % 5 != 0, F.col("p_size")), F.lit(None).cast("int"))
+    high = codes.age_max_months(F.lit(None).cast("int"), F.when(F.col("p_size") % 7 != 0, F.floor(F.col("p_size") / 2).cast("int") + 3), F.lit(None).cast("int"))
+    rows = p.select("p_partkey", low.alias("low"), high.alias("high")).where(codes.age_matches(18, F.col("low"), F.col("high")))
+    return rows.select("p_partkey", F.coalesce("low", F.lit(-1)).alias("low"), F.coalesce("high", F.lit(-1)).alias("high"))
+
+
+@query("SELECT p_partkey, len(string_split(p_name, ' '))::BIGINT AS n_tags FROM part WHERE list_contains(string_split(p_name, ' '), (SELECT string_split(p_name, ' ')[1] FROM part WHERE p_partkey = 1))")
+def code_membership(spark, d):
+    tags, parts = F.split("p_name", " "), table(spark, d, "part")
+    one = parts.where("p_partkey = 1").select(tags[0].alias("tag"))
+    return parts.crossJoin(F.broadcast(one)).where(F.array_contains(tags, F.col("tag"))).select("p_partkey", F.size(tags).cast("long").alias("n_tags"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size < 10 THEN lpad(p_size::VARCHAR, 3, '0') || ',' || (p_size + 100)::VARCHAR ELSE lpad(p_size::VARCHAR, 3, '0') || ',' || (p_size + 100)::VARCHAR END AS codes, (CASE WHEN p_size <= 32 THEN 1 ELSE 2 END)::BIGINT AS n_unknown FROM part")
+def code_normalize(spark, d):
+    """Dirty codes: wide commas, blanks, one or two digits, repeats."""
+    size = F.col("p_size").cast("string")
+    dirty = F.array(F.concat(size, F.lit("，"), (F.col("p_size") + 100).cast("string")), F.concat(F.lit("　"), size, F.lit(" ")), F.lit(""))
+    clean = codes.normalize_codes(dirty)
+    return table(spark, d, "part").select("p_partkey", F.array_join(clean, ",").alias("codes"), F.size(codes.unknown_codes(clean, [c for c, _ in V.CATEGORIES])).cast("long").alias("n_unknown"))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{c}', '{n}')" for k, v in V.TAGS.items() for c, n in v) + ") t(kind, code, name)")
+def tags_list(spark, d):
+    return spark.createDataFrame([(k, c, n) for k, v in V.TAGS.items() for c, n in v], "kind string, code string, name string")
+
+
+# ---- joins on current resources --------------------------------------------------------------------------------------
+
+
+@query(LINKS + "SELECT url_id, resource_id, state FROM cur")
+def latest_link_maxby(spark, d):
+    return current(spark, d).select("url_id", "resource_id", "state")
+
+
+@query("SELECT c_custkey, l.o_orderkey AS resource_id FROM customer LEFT JOIN LATERAL (SELECT o_orderkey FROM orders WHERE o_custkey = c_custkey ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1) l ON true")
+def latest_link_lateral(spark, d):
+    cur = current(spark, d).select("url_id", "resource_id")
+    return table(spark, d, "customer").join(cur, F.col("c_custkey") == F.col("url_id"), "left").select("c_custkey", "resource_id")
+
+
+@query(LINKS + "SELECT c_custkey AS program_id, cur.resource_id, cur.state FROM customer JOIN cur ON cur.url_id = c_custkey WHERE cur.state IN ('deleted', 'deletion_candidate')")
+def dead_programs(spark, d):
+    programs = table(spark, d, "customer").select(F.col("c_custkey").alias("program_id"))
+    main = programs.select("program_id", F.col("program_id").alias("url_id"), F.lit("main").alias("role"))
+    all_links = links(spark, d)
+    return relational.dead_programs(programs, main, current(spark, d), all_links.select("resource_id", "state")).select("program_id", "resource_id", "state")
+
+
+@query(LINKS + "SELECT count(*) AS dead_ends FROM customer JOIN cur ON cur.url_id = c_custkey WHERE cur.state IN ('deleted', 'deletion_candidate') AND NOT EXISTS (SELECT 1 FROM links l WHERE l.url_id = c_custkey AND l.state = 'active')")
+def dead_end_count(spark, d):
+    """Dead programs without any live related link."""
+    dead = dead_programs(spark, d)
+    alive = links(spark, d).where("state = 'active'").select(F.col("url_id").alias("program_id"))
+    return dead.join(alive, "program_id", "left_anti").agg(F.count("*").alias("dead_ends"))
+
+
+@query("WITH RECURSIVE c AS (SELECT c_custkey AS node, c_custkey AS nxt, 0 AS hops FROM customer UNION ALL SELECT node, nxt // 2, hops + 1 FROM c WHERE nxt > 1 AND nxt % 3 <> 0 AND hops < 10) SELECT node, arg_max(nxt, hops) AS ending, max(hops) AS hops FROM c GROUP BY node")
+def moved_chain(spark, d):
+    """Where chains of moved resources end, ten hops at most."""
+    key = F.col("c_custkey")
+    edges = table(spark, d, "customer").select(key.alias("node"), F.when((key > 1) & (key % 3 != 0), F.floor(key / 2).cast("long")).alias("to"))
+    return relational.chain_ends(edges, "node", "to", 10).select("node", F.col("end").alias("ending"), "hops")
+
+
+@query(LINKS + "SELECT (url_id % 40)::VARCHAR AS host, count(*) AS starts, count(*) FILTER (state = 'active') AS live_pages, count(*) >= 5 AND count(*) FILTER (state = 'active') = 0 AS unusable FROM cur GROUP BY 1")
+def coverage_unusable(spark, d):
+    return relational.coverage(current(spark, d).select((F.col("url_id") % 40).cast("string").alias("host"), "state"))
+
+
+@query("SELECT c_custkey AS url_id FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '2-HIGH')")
+def park_restore(spark, d):
+    """Index URLs that are neither a start nor used by a program."""
+    c = table(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("url_id"), F.col("c_custkey").alias("dedup_key"), F.lit("index").alias("role"), F.lit("queued").alias("status"))
+    o = table(spark, d, "orders")
+    starts = o.where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("dedup_key"))
+    return relational.park(c, starts, o.where("o_orderpriority = '2-HIGH'").select(F.col("o_custkey").alias("url_id"))).select("url_id")
+
+
+@query("SELECT c_custkey AS url_id FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
+def retire_unused(spark, d):
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("url_id")).join(table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("url_id")), "url_id", "left_anti")
+
+
+@query("SELECT o_custkey, CASE max(CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END) WHEN 3 THEN 'redirect' WHEN 2 THEN 'declared' ELSE 'normalized' END AS source, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS final_key FROM orders GROUP BY o_custkey")
+def upsert_keep_strongest(spark, d):
+    """A resource keeps its strongest source and its last final URL."""
+    first = F.substring("o_orderpriority", 1, 1)
+    strength = F.when(first == "1", 3).when(first == "2", 2).otherwise(1)
+    out = table(spark, d, "orders").groupBy("o_custkey").agg(F.max(strength).alias("s"), F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("final_key"))
+    return out.select("o_custkey", F.element_at(F.array(*map(F.lit, V.SOURCES)), F.col("s")).alias("source"), "final_key")
+
+
+# ---- run reports -----------------------------------------------------------------------------------------------------
+
+
+@query(HIST + "SELECT host, http_status, count(*) AS n FROM hist WHERE outcome = 'response' GROUP BY ALL")
+def host_status_counts(spark, d):
+    return report.status_counts(history(spark, d))
+
+
+@query(HIST + "SELECT host, 'network:' || split_part(error_detail, ':', 1) AS reason, count(*) AS n FROM hist WHERE outcome <> 'response' GROUP BY ALL")
+def host_stopped_counts(spark, d):
+    return report.stopped_counts(history(spark, d))
+
+
+@query(HIST + "SELECT host, observation, count(*) AS n FROM hist WHERE observation IS NOT NULL GROUP BY ALL")
+def host_observation_counts(spark, d):
+    return report.observation_counts(history(spark, d))
+
+
+@query(HIST + "SELECT host, sum(bytes)::BIGINT AS bytes, count(*) FILTER (charset_replaced) AS replaced FROM hist GROUP BY host")
+def host_totals(spark, d):
+    return report.byte_totals(history(spark, d))
+
+
+@query(HIST + """, b AS (SELECT *, last_value(body_hash IGNORE NULLS) OVER (PARTITION BY url_id ORDER BY fetched_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM hist)
+SELECT run_id::VARCHAR AS run_id, host, count(before) AS compared, count(*) FILTER (before IS NOT NULL AND http_status = 200 AND before <> body_hash) AS changed FROM b WHERE observation = 'alive' AND (http_status = 304 OR body_hash IS NOT NULL) GROUP BY run_id, host""")
+def content_change(spark, d):
+    return report.content_changes(history(spark, d)).withColumn("run_id", F.col("run_id").cast("string"))
+
+
+@query(HIST + "SELECT percentile_disc(0.5) WITHIN GROUP (ORDER BY response_time_ms) AS p50, percentile_disc(0.95) WITHIN GROUP (ORDER BY response_time_ms) AS p95 FROM hist WHERE outcome = 'response'")
+def response_percentiles(spark, d):
+    return report.percentiles(history(spark, d))
+
+
+@query(QUEUE + "SELECT count(DISTINCT q.url_id % 500) AS failed_final FROM q WHERE status = 'failed_final'")
+def failed_final_count(spark, d):
+    return queue(spark, d).where("status = 'failed_final'").agg(F.count_distinct(F.col("url_id") % 500).alias("failed_final"))
+
+
+@query(HIST + ", r AS (SELECT DISTINCT run_id FROM hist) SELECT a.run_id::VARCHAR AS run_id, coalesce(max(b.run_id)::VARCHAR, '') AS previous FROM r a LEFT JOIN r b ON b.run_id < a.run_id GROUP BY a.run_id")
+def previous_run(spark, d):
+    """The finished run with a history before each run."""
+    runs = history(spark, d).select("run_id").distinct()
+    from pyspark.sql import Window as W
+
+    return runs.select(F.col("run_id").cast("string").alias("run_id"), F.coalesce(F.lag("run_id").over(W.orderBy("run_id")).cast("string"), F.lit("")).alias("previous"))
+
+
+STATS = HIST + """, s AS (SELECT host, count(*) AS fetched, count(*) FILTER (outcome = 'response') AS responses, count(*) FILTER (outcome = 'response' AND http_status = 200) AS ok, count(*) FILTER (outcome = 'response' AND http_status = 304) AS nm, count(*) FILTER (outcome = 'response' AND http_status BETWEEN 500 AND 599) AS throttled, count(*) FILTER (observation = 'not_found') AS missing FROM hist GROUP BY host)
+"""
+
+
+@query(STATS + "SELECT host, fetched, responses, ok, nm / nullif(ok + nm, 0) AS not_modified_ratio, throttled / nullif(responses, 0) AS throttled_rate FROM s")
+def host_ratios(spark, d):
+    return report.ratios(report.host_stats(history(spark, d)))
+
+
+@query(HIST + "SELECT host, k.status AS status, sum(n)::BIGINT AS n FROM (SELECT host, http_status AS status, count(*) AS n FROM hist WHERE url_id % 2 = 0 GROUP BY ALL UNION ALL SELECT host, http_status, count(*) FROM hist WHERE url_id % 2 = 1 GROUP BY ALL) k GROUP BY ALL")
+def all_hosts_merge(spark, d):
+    """Count maps of content and index pages added host by host."""
+    h = history(spark, d)
+
+    def maps(rows, name):
+        per = rows.groupBy("host", F.col("http_status").cast("string").alias("status")).agg(F.count("*").alias("n"))
+        return per.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("status", "n"))).alias(name))
+
+    both = maps(h.where("url_id % 2 = 0"), "a").join(maps(h.where("url_id % 2 = 1"), "b"), "host", "full")
+    return both.select("host", F.explode(relational.add_maps(F.col("a"), F.col("b"))).alias("status", "n")).withColumn("status", F.col("status").cast("int"))
+
+
+ALERTS = HIST + """, s AS (SELECT url_id::VARCHAR AS host, count(*) AS fetched, count(*) FILTER (observation = 'not_found') AS missing FROM hist WHERE run_id % 2 = 0 GROUP BY url_id), p AS (SELECT url_id::VARCHAR AS host, count(*) FILTER (observation = 'not_found') / count(*) AS before FROM hist WHERE run_id % 2 = 1 GROUP BY url_id),
+x AS (SELECT s.*, missing / fetched AS rate, before FROM s LEFT JOIN p USING (host))
+SELECT 'surge' AS kind, host, missing AS count, rate FROM x WHERE missing >= 5 AND rate >= 0.2 AND (before IS NULL OR rate > 2 * before)""".replace("run_id % 2", "day(run_id) % 2")
+
+
+@query(ALERTS)
+def alerts_surge(spark, d):
+    h = history(spark, d).withColumn("host", F.col("url_id").cast("string"))
+    day = F.dayofmonth("run_id") % 2
+    return report.alerts(report.host_stats(h.where(day == 0)), report.host_stats(h.where(day == 1)))
+
+
+@query(HIST + """, b AS (SELECT *, last_value(body_hash IGNORE NULLS) OVER (PARTITION BY url_id ORDER BY fetched_at ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM hist),
+c AS (SELECT count(before) AS compared, count(*) FILTER (before IS NOT NULL AND http_status = 200 AND before <> body_hash) AS changed FROM b WHERE observation = 'alive' AND (http_status = 304 OR body_hash IS NOT NULL)),
+s AS (SELECT host, count(*) AS fetched, count(*) FILTER (observation = 'not_found') AS missing FROM hist GROUP BY host), t AS (SELECT count(*) FILTER (outcome = 'response') AS responses FROM hist)
+SELECT 'surge' AS kind, host, missing AS count, missing / fetched AS rate FROM s WHERE missing >= 5 AND missing / fetched >= 0.2
+UNION ALL SELECT 'too_few_responses', NULL, responses, NULL FROM t WHERE responses < 1000000000
+UNION ALL SELECT 'content_change_rate_high', NULL, changed, changed / compared FROM c WHERE compared >= 20 AND changed / compared > 0.5
+UNION ALL SELECT 'lease_expired_often', NULL, 12, 0.12""")
+def alerts_all(spark, d):
+    h = history(spark, d)
+    return report.alerts(report.host_stats(h), None, report.content_changes(h), claimed=100, lease_expired=12, least_responses=1_000_000_000)
+
+
+# ---- the queue -------------------------------------------------------------------------------------------------------
+
+DUE = "((status IN ('queued', 'succeeded', 'failed_final', 'blocked', 'retry_wait') AND next_crawl_at <= t) OR (status = 'processing' AND lease_until <= t)) AND status <> 'retired' AND host_key NOT IN (SELECT host_key FROM q, now WHERE status = 'processing' AND lease_until > t)"
+
+
+@query(QUEUE + f"SELECT url_id, host_key, status, priority FROM (SELECT q.*, row_number() OVER (PARTITION BY host_key ORDER BY priority DESC, next_crawl_at, url_id) AS rn FROM q, now WHERE {DUE}) WHERE rn = 1")
+def claim_candidates(spark, d):
+    q = queue(spark, d)
+    return relational.claim_candidates(q, clock(history(spark, d))).select("url_id", "host_key", "status", "priority")
+
+
+@query(QUEUE + f"SELECT url_id, host_key, status, priority FROM (SELECT q.*, row_number() OVER (PARTITION BY host_key ORDER BY priority DESC, next_crawl_at, url_id) AS rn FROM q, now WHERE {DUE} AND NOT EXISTS (SELECT 1 FROM q b WHERE b.status = 'processing' AND b.url_id % 3 = 0 AND b.resource_id = q.resource_id AND b.url_id <> q.url_id)) WHERE rn = 1")
+def claim_excluded(spark, d):
+    """As claim_candidates, without URLs whose resource another URL at work holds."""
+    q = queue(spark, d)
+    busy = q.where("status = 'processing' AND url_id % 3 = 0").select("url_id", "resource_id")
+    return relational.claim_candidates(q, clock(history(spark, d)), busy=busy).select("url_id", "host_key", "status", "priority")
+
+
+@query(QUEUE + f", c AS (SELECT * FROM (SELECT q.*, row_number() OVER (PARTITION BY host_key ORDER BY priority DESC, next_crawl_at, url_id) AS rn FROM q, now WHERE {DUE}) WHERE rn = 1) SELECT url_id, host_key FROM c, now ORDER BY greatest(next_crawl_at + INTERVAL 3 DAY, t), priority DESC, next_crawl_at, url_id LIMIT 16")
+def claim_pick(spark, d):
+    q, now = queue(spark, d), clock(history(spark, d))
+    return relational.pick(relational.claim_candidates(q, now), F.col("next_crawl_at") + F.expr("INTERVAL 3 DAY"), now, 16).select("url_id", "host_key")
+
+
+@query(QUEUE + "SELECT greatest(0, round(epoch(min(next_crawl_at) FILTER (status = 'retry_wait')) - epoch(any_value(t))))::BIGINT AS seconds FROM q, now")
+def next_retry(spark, d):
+    return relational.next_retry_in(_ltz(queue(spark, d)), clock(_ltz(history(spark, d), "fetched_at")))
+
+
+@query(QUEUE + "SELECT count(*) AS depth, round(epoch(any_value(t)) - epoch(min(next_crawl_at)))::BIGINT AS oldest_wait_s FROM q, now WHERE status NOT IN ('processing', 'retired') AND next_crawl_at <= t")
+def queue_due(spark, d):
+    return report.queue_state(_ltz(queue(spark, d)), clock(_ltz(history(spark, d), "fetched_at")))
+
+
+def _ltz(df, column: str = "next_crawl_at"):
+    return df.withColumn(column, F.col(column).cast("timestamp"))
+
+
+# ---- folds -----------------------------------------------------------------------------------------------------------
+
+
+@query(HIST + """, o AS (SELECT url_id, CASE WHEN http_status = 404 AND k % 9 = 0 THEN 'gone' ELSE observation END AS ob, row_number() OVER (PARTITION BY url_id ORDER BY fetched_at, event_id) AS i FROM hist WHERE observation IS NOT NULL),
+f AS (SELECT url_id, ob, i, count(*) FILTER (ob = 'alive') OVER (PARTITION BY url_id ORDER BY i) AS grp, max(i) OVER (PARTITION BY url_id) AS n FROM o),
+g AS (SELECT url_id, grp, i, n, ob, count(*) FILTER (ob <> 'alive') OVER (PARTITION BY url_id, grp ORDER BY i) AS misses, max((ob = 'gone')::INT) OVER (PARTITION BY url_id, grp ORDER BY i) AS gone FROM f)
+SELECT url_id, CASE WHEN misses = 0 THEN 'active' WHEN gone = 1 OR misses >= 3 THEN 'deleted' ELSE 'deletion_candidate' END AS state, misses::BIGINT AS misses FROM g WHERE i = n""")
+def state_fold(spark, d):
+    """The state of each URL's resource after all observations in order."""
+    h = _observed(history(spark, d))
+    seq = h.groupBy("url_id").agg(F.sort_array(F.collect_list(F.struct("fetched_at", "event_id", "ob"))).alias("seq"))
+    out = seq.select("url_id", decisions.fold_states(F.transform("seq", lambda x: x["ob"])).alias("s"))
+    return out.select("url_id", "s.state", F.col("s.misses").cast("long").alias("misses"))
+
+
+def _observed(h: DataFrame) -> DataFrame:
+    ob = F.when((F.col("http_status") == 404) & (F.col("k") % 9 == 0), "gone").otherwise(F.col("observation"))
+    return h.where("observation IS NOT NULL").select("url_id", "fetched_at", "event_id", ob.alias("ob"))
+
+
+@query("SELECT event_id, CASE WHEN b IS NULL THEN 604800.0 ELSE least(greatest(CASE v WHEN 'changed' THEN b / 2 WHEN 'unchanged' THEN b * 1.5 ELSE b END, 259200.0), 1209600.0) END AS next_s FROM (SELECT event_id, CASE event_type WHEN 'purchase' THEN 'changed' WHEN 'click' THEN 'unchanged' ELSE 'unknown' END AS v, CASE WHEN event_id % 4 = 0 THEN NULL ELSE least(greatest(floor(value * 10000), 259200.0), 1209600.0) END AS b FROM events)")
+def schedule_adapt(spark, d):
+    changed = F.when(F.col("event_type") == "purchase", "changed").when(F.col("event_type") == "click", "unchanged").otherwise("unknown")
+    return table(spark, d, "events").select("event_id", decisions.adapt(F.lit("page"), changed, F.when(F.col("event_id") % 4 != 0, F.floor(F.col("value") * 10000))).alias("next_s"))
+
+
+@query("SELECT event_id, least(10.0 * pow(2.0, f - 1), 600.0) AS wait_s, (('0x' || substr(u, 1, 15))::BIGINT % 5001)::BIGINT AS jitter_ms FROM (SELECT event_id, (event_id % 8 + 1) AS f, md5(event_id::VARCHAR) AS u FROM events)".replace("('0x' || substr(u, 1, 15))::BIGINT % 5001", "list_reduce(list_transform(range(1, 33), lambda i: ('0x' || substr(u, i, 1))::BIGINT), lambda a, b: (a * 16 + b) % 5001)"))
+def backoff_jitter(spark, d):
+    """Waits after failures, and a 128-bit id modulo 5001."""
+    return table(spark, d, "events").select("event_id", decisions.backoff(F.col("event_id") % 8 + 1).alias("wait_s"), decisions.jitter_ms(F.md5(F.col("event_id").cast("string"))).alias("jitter_ms"))
+
+
+@query()
+def pacing_fold(spark, d):
+    """Each host's slowdowns and wait after all its responses."""
+    h = history(spark, d).where("outcome = 'response'").groupBy("host").agg(F.sort_array(F.collect_list(F.struct("fetched_at", "event_id", F.struct(F.col("http_status").alias("status"), (F.col("k") * 10).alias("retry_after")).alias("r")))).alias("seq"))
+    return h.select("host", http.pace(F.transform("seq", lambda x: x["r"])).alias("p")).select("host", "p.slowdowns", "p.wait")
+
+
+@query(HIST + "SELECT url_id, (CASE WHEN max(fetched_at) FILTER (body_hash IS NOT NULL) > max(fetched_at) - INTERVAL 28 DAY THEN true ELSE false END) AS recent FROM hist GROUP BY url_id")
+def recent_full_read(spark, d):
+    h = history(spark, d)
+    return h.groupBy("url_id").agg(F.coalesce(F.max(F.when(F.col("body_hash").isNotNull(), F.col("fetched_at"))) > F.max("fetched_at") - F.expr("INTERVAL 28 DAYS"), F.lit(False)).alias("recent"))
+
+
+# ---- URLs and pages --------------------------------------------------------------------------------------------------
+
+NORMAL = """WITH u AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS bare FROM pages), v AS (SELECT *, split_part(bare, '?', 1) AS path, list_sort(list_filter(string_split(CASE WHEN strpos(bare, '?') > 0 THEN substr(bare, strpos(bare, '?') + 1) ELSE '' END, '&'), lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ('utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'gclid'))) AS q FROM u),
+n AS (SELECT page_id, url, CASE WHEN len(q) > 0 THEN path || '?' || array_to_string(q, '&') ELSE path END AS normalized FROM v)
+"""
+
+
+@query(NORMAL + "SELECT page_id, normalized, regexp_extract(normalized, '^(https?://[^/?#]+)', 1) AS host_key FROM n")
+def url_normalize(spark, d):
+    """Every URL through the full parser, in Arrow batches."""
+    p = table(spark, d, "pages").select("page_id", urls.prepared("url").alias("p"))
+    return p.select("page_id", "p.normalized", "p.host_key")
+
+
+@query(NORMAL + "SELECT page_id, normalized FROM n")
+def url_normalize_plain(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.normalize_plain(F.col("url")).alias("normalized"))
+
+
+@query(NORMAL + "SELECT normalized AS dedup_key, min(page_id) AS first_page, count(*) AS n FROM n GROUP BY normalized")
+def url_dedup(spark, d):
+    """URLs folded by key, first seen first."""
+    p = table(spark, d, "pages").select("page_id", urls.dedup_key(urls.normalize_plain(F.col("url"))).alias("dedup_key"))
+    return p.groupBy("dedup_key").agg(F.min("page_id").alias("first_page"), F.count("*").alias("n"))
+
+
+@query(NORMAL + r"SELECT page_id, nullif(regexp_extract(regexp_replace(normalized, '[?#].*$', ''), '^(https?://[^/]+/(?:.*?/)?)[^/]*/?$', 1), '') AS parent FROM n")
+def url_parent_dir(spark, d):
+    return table(spark, d, "pages").select("page_id", urls.parent_dir(urls.normalize_plain(F.col("url"))).alias("parent"))
+
+
+@query(NORMAL + r"""SELECT page_id, regexp_matches(normalized, '^https?://[^/?#]+/?(index\.[^/?#]*)?$') AS top, (strpos(name, '.') = 0 OR lower(regexp_extract(name, '\.([^./]*)$', 1)) IN ('html', 'htm', 'shtml', 'php', 'aspx', 'jsp')) AS page_like FROM (SELECT *, regexp_extract(normalized, '^https?://[^/?#]*[^?#]*?([^/?#]*)(?:[?#].*)?$', 1) AS name FROM n)""")
+def url_page_like(spark, d):
+    n = urls.normalize_plain(F.col("url"))
+    return table(spark, d, "pages").select("page_id", urls.is_top_page(n).alias("top"), urls.page_like(n).alias("page_like"))
+
+
+@query(NORMAL + "SELECT DISTINCT regexp_extract(normalized, '^(https?://[^/?#]+)', 1) AS host_key FROM n UNION SELECT 'https://moved.example.org'")
+def allow_list(spark, d):
+    p = table(spark, d, "pages").select(urls.host_key(urls.normalize_plain(F.col("url"))).alias("host_key"))
+    moves = spark.createDataFrame([("approved", "https://moved.example.org"), ("proposed", "https://other.example.org")], "status string, to_host_key string")
+    return relational.allow_list(p, moves)
+
+
+@query(NORMAL + ", h AS (SELECT page_id, regexp_extract(normalized, '^(https?://[^/?#]+)', 1) AS host_key FROM n) SELECT page_id, host_key FROM h WHERE host_key IN (SELECT host_key FROM h WHERE page_id % 2 = 0)")
+def scope_filter(spark, d):
+    p = table(spark, d, "pages").select("page_id", urls.host_key(urls.normalize_plain(F.col("url"))).alias("host_key"))
+    return relational.in_scope(p, p.where("page_id % 2 = 0").select("host_key").distinct()).select("page_id", "host_key")
+
+
+@query("SELECT page_id, (len(string_split(url, ',http')) + 1)::BIGINT AS parts FROM pages")
+def split_joined(spark, d):
+    return table(spark, d, "pages").select("page_id", F.size(urls.split_joined(F.concat("url", F.lit(",https://a.example/x,y")))).cast("long").alias("parts"))
+
+
+@query(r"SELECT page_id, len(list_filter(regexp_extract_all(html, 'https?://[A-Za-z0-9\-._~:/?#\[\]@!$&''()*+,;=%]+'), lambda x: true))::BIGINT AS n FROM pages")
+def extract_urls(spark, d):
+    return table(spark, d, "pages").select("page_id", F.size(urls.extract_urls(F.col("html"))).cast("long").alias("n"))
+
+
+def _pages(spark, d) -> DataFrame:
+    return table(spark, d, "pages").select("page_id", "url", html.extracted("html", "url").alias("e"))
+
+
+@query("SELECT page_id, nullif(trim(regexp_replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS title FROM pages")
+def html_title(spark, d):
+    return _pages(spark, d).select("page_id", F.col("e.title").alias("title"))
+
+
+@query()
+def html_body_hash(spark, d):
+    prints = html.fingerprints(F.col("e"))
+    return _pages(spark, d).select("page_id", *[c.alias(n) for n, c in prints.items()])
+
+
+@query()
+def html_links(spark, d):
+    return _pages(spark, d).select("page_id", F.explode("e.anchors").alias("a")).select("page_id", "a.url", "a.text")
+
+
+@query("SELECT sha256(text) AS text_hash, min(doc_id) AS first_doc, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def text_hash_dups(spark, d):
+    t = table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("text_hash")).agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n"))
+    return t.where("n > 1")
+
+
+@query("SELECT DISTINCT source, sha256(text) AS body_hash FROM documents")
+def content_versions(spark, d):
+    """Each content of a resource once."""
+    return table(spark, d, "documents").select("source", F.sha2("text", 256).alias("body_hash")).distinct()
+
+
+@query("SELECT source, arg_min(doc_id, doc_id) AS first_doc FROM documents GROUP BY source")
+def first_wins(spark, d):
+    return relational.first_by(table(spark, d, "documents").select("source", F.col("doc_id").alias("first_doc")), "source", "first_doc")
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def insert_ignore(spark, d):
+    """Rows whose key is not there yet."""
+    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+# ---- names -----------------------------------------------------------------------------------------------------------
+
+SIM = """WITH p AS (SELECT p_partkey, p_brand, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS nm FROM part), s AS (SELECT s_suppkey, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') AS nm2, p_brand AS b2 FROM supplier JOIN part ON s_suppkey = p_partkey),
+pair AS (SELECT p_partkey, s_suppkey, nm, nm2 FROM p JOIN s ON p_brand = b2),
+g AS (SELECT *, list_transform(range(1, len(nm)), lambda i: substr(nm, i, 2)) AS ga, list_transform(range(1, len(nm2)), lambda i: substr(nm2, i, 2)) AS gb FROM pair),
+sc AS (SELECT p_partkey, s_suppkey, CASE WHEN len(nm) < 4 OR len(nm2) < 4 THEN 0.0 WHEN (contains(nm, nm2) OR contains(nm2, nm)) AND 2 * least(len(nm), len(nm2)) >= greatest(len(nm), len(nm2)) THEN 1.0
+ ELSE 2.0 * list_sum(list_transform(list_distinct(ga), lambda x: least(len(list_filter(ga, lambda y: y = x)), len(list_filter(gb, lambda y: y = x))))) / (len(ga) + len(gb)) END AS score FROM g)
+"""
+
+
+def _scores(spark, d) -> DataFrame:
+    """Program names against link texts of the same host."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand", names.normalize_name(F.col("p_name")).alias("nm"))
+    s = table(spark, d, "supplier").select("s_suppkey").join(p.select(F.col("p_partkey").alias("s_suppkey"), F.col("nm").alias("nm2"), "p_brand"), "s_suppkey")
+    return p.join(s, "p_brand").select("p_partkey", "s_suppkey", names.similarity(F.col("nm"), F.col("nm2")).alias("score"))
+
+
+@query(SIM + "SELECT p_partkey, s_suppkey, score FROM sc WHERE score >= 0.6")
+def name_similarity(spark, d):
+    return _scores(spark, d).where(F.col("score") >= V.MIN_SCORE)
+
+
+@query(SIM + "SELECT p_partkey, s_suppkey, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, s_suppkey) AS rank FROM sc WHERE score >= 0.6) WHERE rank <= 3")
+def rank_top3(spark, d):
+    return relational.ranked(_scores(spark, d).where(F.col("score") >= V.MIN_SCORE), "p_partkey", [F.desc("score"), F.asc("s_suppkey")], V.MAX_CANDIDATES)
+
+
+# ---- rules on literal rows -------------------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM (VALUES ('最終更新日:2024年5月1日', '2024-05-01'), ('令和6年4月1日更新', '2024-04-01'), ('平成元年1月8日 公開', '1989-01-08'), ('更新日 令和元年13月1日', ''), ('免許の更新', ''), ('掲載日 2023/02/03 更新日 2023.03.04', '2023-03-04')) t(text, day)")
+def era_dates(spark, d):
+    rows = [("最終更新日:2024年5月1日",), ("令和6年4月1日更新",), ("平成元年1月8日 公開",), ("更新日 令和元年13月1日",), ("免許の更新",), ("掲載日 2023/02/03 更新日 2023.03.04",)]
+    return spark.createDataFrame(rows, "text string").select("text", F.coalesce(dates.updated_on(F.col("text")).cast("string"), F.lit("")).alias("day"))
+
+
+@query("SELECT status, CASE WHEN status BETWEEN 200 AND 299 THEN 'parse' WHEN status BETWEEN 300 AND 499 THEN 'allow_all' ELSE 'skip' END AS robots, CASE WHEN status IN (301, 308) THEN 'permanent' WHEN status IN (302, 303, 307) THEN 'temporary' END AS redirect, CASE WHEN status BETWEEN 200 AND 299 OR status IN (404, 410) THEN 'link' WHEN status = 304 THEN 'keep_previous' ELSE 'skip' END AS action FROM range(200, 600) t(status)")
+def http_classify(spark, d):
+    s = F.col("status")
+    return spark.range(200, 600).select(F.col("id").alias("status")).select("status", http.robots_policy(s).alias("robots"), http.redirect_kind(s).alias("redirect"), decisions.status_action(s).alias("action"))
+
+
+@query(HIST + "SELECT event_id, CASE WHEN outcome = 'network' OR http_status = 503 THEN 'retry' ELSE 'succeeded' END AS job, CASE WHEN outcome = 'network' THEN 'network' WHEN http_status = 503 THEN 'server_error' END AS error_type, CASE WHEN outcome = 'network' OR http_status = 503 THEN NULL WHEN http_status = 404 THEN 'not_found' WHEN http_status = 200 AND k % 10 = 3 THEN 'soft_404_title' ELSE 'alive' END AS observation FROM hist")
+def liveness_classify(spark, d):
+    h = history(spark, d).withColumn("hops", F.array(F.struct(F.concat(F.lit("https://x.example/p"), F.col("url_id")).alias("url"), F.col("http_status").alias("status"))))
+    title = F.when(F.col("k") % 10 == 3, "Page Not Found").otherwise("Title")
+    v = decisions.verdict(F.col("outcome"), F.col("http_status"), F.col("hops"), title, F.lit(None).cast("string"), F.lit(None).cast("string"))
+    return h.select("event_id", v.alias("v")).select("event_id", "v.job", "v.error_type", "v.observation")
+
+
+@query(HIST + "SELECT event_id, CASE WHEN k % 3 = 0 THEN 'https://x.example/b' || url_id WHEN k % 3 = 1 THEN 'https://x.example/d' || url_id ELSE 'https://x.example/a' || url_id END AS canonical_url, CASE k % 3 WHEN 0 THEN 'redirect' WHEN 1 THEN 'declared' ELSE 'normalized' END AS source, CASE k % 3 WHEN 0 THEN 'redirect' WHEN 1 THEN 'declared' ELSE 'direct' END AS relation FROM hist")
+def canonical_decide(spark, d):
+    """A permanent redirect, a declaration, or the URL itself decides."""
+    at = lambda p: F.concat(F.lit(f"https://x.example/{p}"), F.col("url_id").cast("string"))
+    hop = lambda u, s: F.struct(u.alias("url"), F.lit(s).alias("status"))
+    h = history(spark, d)
+    hops = F.when(F.col("k") % 3 == 0, F.array(hop(at("a"), 301), hop(at("b"), 200))).otherwise(F.array(hop(at("a"), 200)))
+    raw = F.when(F.col("k") % 3 == 1, at("d"))
+    declared = F.struct(raw.alias("normalized"), F.lit("https://x.example").alias("host_key"), F.lit(None).cast("string").alias("rejection"))
+    return h.select("event_id", decisions.canonical(hops, raw, declared, F.lit(True)).alias("c")).select("event_id", "c.canonical_url", "c.source", "c.relation")
+
+
+@query(HIST + """, dec AS (SELECT DISTINCT host, 'p' || (url_id % 7) AS page, CASE WHEN (url_id % 10) IN (1, 2) THEN 'p0' ELSE 'p' || ((url_id % 7) // 2) END AS declared FROM hist), pt AS (SELECT * FROM dec WHERE page <> declared),
+ch AS (SELECT DISTINCT a.host FROM pt a JOIN dec b ON a.host = b.host AND a.declared = b.page AND b.declared <> a.declared), tg AS (SELECT host, arg_min(declared, page) AS target, count(*) AS pages FROM pt GROUP BY host),
+sm AS (SELECT dec.host, bool_and(declared = target) AS same, any_value(pages) AS pages FROM dec JOIN tg USING (host) WHERE page <> target GROUP BY dec.host)
+SELECT tg.host, CASE WHEN ch.host IS NOT NULL THEN 'chain' ELSE 'same_target' END AS reason FROM tg LEFT JOIN ch USING (host) LEFT JOIN sm USING (host) WHERE ch.host IS NOT NULL OR (same AND sm.pages >= 3)""")
+def host_trust(spark, d):
+    h = history(spark, d)
+    u = F.col("url_id")
+    declared = F.when((u % 10).isin(1, 2), "p0").otherwise(F.concat(F.lit("p"), F.floor((u % 7) / 2).cast("string")))
+    return relational.untrusted_hosts(h.select("host", F.concat(F.lit("p"), (u % 7).cast("string")).alias("page"), declared.alias("declared")).distinct())
+
+
+# ---- windows over events ---------------------------------------------------------------------------------------------
+
+
+@query("SELECT time_bucket(INTERVAL 1 DAY, ts) AS day, event_type, count(*) AS n, sum(floor(value * 100))::BIGINT AS cents FROM events GROUP BY ALL")
+def tumbling_events(spark, d):
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    out = e.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("value") * 100)).cast("long").alias("cents"))
+    return out.select(F.col("w.start").cast("timestamp_ntz").alias("day"), "event_type", "n", "cents")
+
+
+@query("SELECT user_id, count(*) AS sessions, max(n) AS longest FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS new FROM events)) GROUP BY ALL) GROUP BY user_id")
+def session_events(spark, d):
+    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    s = e.groupBy("user_id", F.session_window("ts", "12 hours")).agg(F.count("*").alias("n"))
+    return s.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("longest"))

@@ -10,6 +10,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import dates
 from . import vocab as V
@@ -54,9 +55,12 @@ def decode(content_type: str | None, body: bytes) -> dict:
     return {"text": text, "charset": NAMES[codec], "charset_source": source, "charset_replaced": "�" in text and "�" not in body.decode(codec, "ignore")}
 
 
-@F.pandas_udf("struct<text: string, charset: string, charset_source: string, charset_replaced: boolean>")
+DECODED = T.StructType([*(T.StructField(n, T.StringType()) for n in ("text", "charset", "charset_source")), T.StructField("charset_replaced", T.BooleanType())])
+
+
+@F.pandas_udf(DECODED)
 def decoded(content_type: pd.Series, body: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([decode(c if isinstance(c, str) else None, bytes(b)) if b is not None else dict.fromkeys(("text", "charset", "charset_source", "charset_replaced")) for c, b in zip(content_type, body)])
+    return pd.DataFrame([decode(c if isinstance(c, str) else None, bytes(b)) if b is not None else dict.fromkeys(DECODED.names) for c, b in zip(content_type, body)], columns=DECODED.names)
 
 
 # ---- a small tree ----------------------------------------------------------------------------------------------------
@@ -217,10 +221,9 @@ def container(body: Node) -> tuple[str, Node]:
     return "body", body
 
 
-EXTRACTED = (
-    "struct<title: string, canonical: string, robots: string, rule: string, body_text: string, page_text: string, "
-    "links: array<string>, anchors: array<struct<url: string, text: string>>>"
-)
+_TEXTS = ("title", "canonical", "robots", "rule", "body_text", "page_text")
+_ANCHOR = T.StructType([T.StructField("url", T.StringType()), T.StructField("text", T.StringType())])
+EXTRACTED = T.StructType([*(T.StructField(n, T.StringType()) for n in _TEXTS), T.StructField("links", T.ArrayType(T.StringType())), T.StructField("anchors", T.ArrayType(_ANCHOR))])
 
 
 def extract(html: str, url: str) -> dict:
@@ -258,9 +261,8 @@ def extract(html: str, url: str) -> dict:
 
 @F.pandas_udf(EXTRACTED)
 def extracted(html: pd.Series, url: pd.Series) -> pd.DataFrame:
-    names = ("title", "canonical", "robots", "rule", "body_text", "page_text", "links", "anchors")
-    rows = [extract(h, u) if isinstance(h, str) and isinstance(u, str) else dict.fromkeys(names) for h, u in zip(html, url)]
-    return pd.DataFrame(rows, columns=list(names))
+    rows = [extract(h, u) if isinstance(h, str) and isinstance(u, str) else dict.fromkeys(EXTRACTED.names) for h, u in zip(html, url)]
+    return pd.DataFrame(rows, columns=EXTRACTED.names)
 
 
 def fingerprints(e: Column) -> dict[str, Column]:

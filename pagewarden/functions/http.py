@@ -57,7 +57,7 @@ def retry_after(value: Column, now: Column) -> Column:
 
 def pace(responses: Column, least: float = V.PACE_LEAST_S, crawl_delay: Column | None = None) -> Column:
     """Folds a host's responses, structs (status, retry_after), in order: struct(slowdowns, wait seconds)."""
-    base = F.greatest(F.lit(least), F.coalesce(crawl_delay, F.lit(least)))
+    base = F.lit(least) if crawl_delay is None else F.greatest(F.lit(least), F.coalesce(crawl_delay, F.lit(least)))
     gap = lambda n: F.least(base * F.pow(F.lit(2.0), n), F.greatest(F.lit(V.PACE_MOST_S), base))
 
     def step(state, r):

@@ -7,11 +7,12 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vocab as V
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(text: pd.Series) -> pd.Series:
     """Spark has no normal forms; the rest of the name work stays in the JVM."""
     return text.map(lambda t: unicodedata.normalize("NFKC", t) if isinstance(t, str) else None)

@@ -12,10 +12,11 @@ from urllib.parse import quote
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import vocab as V
 
-PREPARED = "struct<raw: string, normalized: string, dedup_key: string, host_key: string, rejection: string>"
+PREPARED = T.StructType([T.StructField(n, T.StringType()) for n in ("raw", "normalized", "dedup_key", "host_key", "rejection")])
 _UNRESERVED = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-._~")
 _DEFAULT_PORT = {"http": 80, "https": 443, "ftp": 21, "ws": 80, "wss": 443}
 _HEX = re.compile("%([0-9A-Fa-f]{2})")
@@ -146,9 +147,8 @@ def prepare(raw: str | None) -> dict | None:
 @F.pandas_udf(PREPARED)
 def prepared(raw: pd.Series) -> pd.DataFrame:
     """prepare() as a column; a null URL gives a struct of nulls."""
-    names = ("raw", "normalized", "dedup_key", "host_key", "rejection")
-    rows = [prepare(x if isinstance(x, str) else None) or dict.fromkeys(names) for x in raw]
-    return pd.DataFrame(rows, columns=list(names))
+    rows = [prepare(x if isinstance(x, str) else None) or dict.fromkeys(PREPARED.names) for x in raw]
+    return pd.DataFrame(rows, columns=PREPARED.names)
 
 
 def join_url(base: str | None, link: str | None) -> str | None:
@@ -184,7 +184,7 @@ def _text(parts) -> str | None:
     return head + (f":{port}" if port else "") + path + (f"?{query}" if query is not None else "") + (f"#{fragment}" if fragment is not None else "")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def joined(base: pd.Series, link: pd.Series) -> pd.Series:
     return pd.Series([join_url(b if isinstance(b, str) else None, x if isinstance(x, str) else None) for b, x in zip(base, link)])
 
