@@ -40,7 +40,10 @@ NOW = "1997-07-01 00:00:00"
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as fetch history."""
-    e = table(spark, sf_dir, "events")
+    return _history_of(table(spark, sf_dir, "events"))
+
+
+def _history_of(e: DataFrame) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     status = F.when(F.col("event_type").isin("view", "purchase"), 200).when(F.col("event_type") == "click", 304).when(F.col("event_type") == "signup", 404).otherwise(503)
     e = e.select("event_id", "user_id", "ts", "value", k.alias("k"), status.alias("http_status"))
@@ -525,7 +528,7 @@ def rank_top3(spark, d):
 # ---- rules on literal rows -------------------------------------------------------------------------------------------
 
 
-@query("SELECT * FROM (VALUES ('最終更新日:2024年5月1日', '2024-05-01'), ('令和6年4月1日更新', '2024-04-01'), ('平成元年1月8日 公開', '1989-01-08'), ('更新日 令和元年13月1日', ''), ('免許の更新', ''), ('掲載日 2023/02/03 更新日 2023.03.04', '2023-03-04')) t(text, day)")
+@query("SELECT * FROM (VALUES ('最終更新日:2024年5月1日', '2024-05-01'), ('令和6年4月1日更新', '2024-04-01'), ('平成元年1月8日 公開', '1989-01-08'), ('更新日 令和元年13月1日', ''), ('免許の更新', ''), ('掲載日 2023/02/03 更新日 2023.03.04', '2023-02-03')) t(text, day)")
 def era_dates(spark, d):
     rows = [("最終更新日:2024年5月1日",), ("令和6年4月1日更新",), ("平成元年1月8日 公開",), ("更新日 令和元年13月1日",), ("免許の更新",), ("掲載日 2023/02/03 更新日 2023.03.04",)]
     return spark.createDataFrame(rows, "text string").select("text", F.coalesce(dates.updated_on(F.col("text")).cast("string"), F.lit("")).alias("day"))
@@ -583,3 +586,19 @@ def session_events(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     s = e.groupBy("user_id", F.session_window("ts", "12 hours")).agg(F.count("*").alias("n"))
     return s.groupBy("user_id").agg(F.count("*").alias("sessions"), F.max("n").alias("longest"))
+
+
+@query(ORACLE_SQL["state_fold"])
+def state_stream(spark, d):
+    """state_fold as a stream: the events file is read once by a streaming query that keeps each URL's state."""
+    import uuid
+
+    from .streaming.states import resource_states
+
+    schema = table(spark, d, "events").schema
+    name = f"states_{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    q = resource_states(_observed(_history_of(stream))).writeStream.outputMode("update").format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination()
+    out = spark.table(name)
+    return out.groupBy("url_id").agg(F.max_by(F.struct("state", "misses"), "seen").alias("s")).select("url_id", "s.state", "s.misses")
