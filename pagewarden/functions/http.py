@@ -52,7 +52,7 @@ def retry_after(value: Column, now: Column) -> Column:
     """Seconds of a Retry-After header: a number, or a date (past ones count as 0); null if it is neither."""
     text = F.trim(value)
     date = F.try_to_timestamp(F.regexp_extract(text, r"^[A-Za-z]{3}, (.*) GMT$", 1), F.lit("dd MMM yyyy HH:mm:ss"))
-    return F.when(text.rlike("^[0-9]+$"), F.expr("0") + text.try_cast("bigint")).otherwise(F.greatest(F.lit(0), F.unix_timestamp(date) - F.unix_timestamp(now)))
+    return F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint")).when(date.isNotNull(), F.greatest(F.lit(0), F.unix_timestamp(date) - F.unix_timestamp(now)))
 
 
 def pace(responses: Column, least: float = V.PACE_LEAST_S, crawl_delay: Column | None = None) -> Column:
