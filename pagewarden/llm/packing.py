@@ -43,7 +43,7 @@ def _lengths(tokenizer: str):
 def lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, n_tokens) for every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_lengths(tokenizer or default_path()), "doc_id long, n_tokens long")
+    return docs.mapInArrow(_lengths(tokenizer or default_path("byte_bpe_50k.tiktoken")), "doc_id long, n_tokens long")
 
 
 def edges(longest: int) -> np.ndarray:

@@ -20,6 +20,44 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def _tokenizers(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def _ranks(path: str) -> dict[bytes, int]:
+    import base64
+
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+def _tiktoken(path: str):
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={}).encode_ordinary
+
+
+def _begins_with_space(path: str) -> np.ndarray:
+    """For each id whether it begins with a space; room for one id more, which ends a text."""
+    if path.endswith(".tiktoken"):
+        ranks = _ranks(path)
+        out = np.zeros(max(ranks.values()) + 2, bool)
+        out[[i for token, i in ranks.items() if token[:1] == b" "]] = True
+        return out
+    from tokenizers import Tokenizer
+
+    vocabulary = Tokenizer.from_file(path).get_vocab()
+    out = np.zeros(max(vocabulary.values()) + 1, bool)
+    out[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+    return out
+
+
 class _Kept:
     """Ids of chunks in two generations: a full table becomes the old one, whose entries move up when they are met again."""
 
@@ -41,32 +79,25 @@ class _Kept:
 
 
 class Subwords:
-    """Encodes with the tokenizers library. A byte-level BPE never merges over a space between two other characters, so
+    """Encodes with the library of the vocabulary's file: tokenizers (.json) or tiktoken (.tiktoken). A byte-level BPE never merges over a space between two other characters, so
     chunks from one such space to the next are encoded apart and their ids kept. Chunks to be learned are encoded as one
     text and told apart by the space that only their first id holds."""
 
     def __init__(self, path: str, kept: int = KEPT):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab()
-        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
-        for token, i in vocabulary.items():
-            self.spaced[i] = token.startswith("Ġ")
+        self.ids = _tiktoken(path) if path.endswith(".tiktoken") else _tokenizers(path)
+        self.spaced = _begins_with_space(path)
         self.first, self.later, self.words = _Kept(kept // 4), _Kept(kept), _Kept(kept)
         self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32
 
     def _one(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return np.array(self.ids(text), self.kind).tobytes()
 
     def _spaced(self, chunks: list[str]) -> list[bytes]:
         """The ids of each chunk with a space before it."""
         out = []
         for at in range(0, len(chunks), 2000):
             some = chunks[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, self.kind)
+            ids = np.array(self.ids(" " + " ".join(some)), self.kind)
             begin = np.flatnonzero(self.spaced[ids])
             if len(begin) == len(some):
                 raw, wide = ids.tobytes(), ids.itemsize
@@ -114,7 +145,8 @@ class Subwords:
     def _encode(self, pieces: list[tuple[bool, str]]) -> list[bytes]:
         split = [_CUT.split(p) if _UNSAFE.search(p) else p.split(" ") for _, p in pieces]
         begun = {s[0] for s, (begins, _) in zip(split, pieces) if begins}
-        self.first.now.update((c, self._one(c)) for c in self.first.missing(begun))
+        fresh = self.first.missing(begun)
+        self.first.now.update((c, self._one(c)) for c in fresh)
         self._learn(self.later, set().union(*(s[1:] if begins else s for s, (begins, _) in zip(split, pieces))))
         get = self.later.now.__getitem__
         return [(self.first.now[s[0]] if begins else get(s[0])) + b"".join(map(get, s[1:])) for s, (begins, _) in zip(split, pieces)]
