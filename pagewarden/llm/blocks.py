@@ -47,6 +47,11 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame, n: int, bucket: str) -> DataFrame:
+    """One partition for each number in ``bucket`` (0 to n - 1); hashing the numbers would give some tasks several."""
+    return df.repartitionById(n, F.col(bucket).cast("int"))
+
+
 #: The id under which a null doc_id is sorted.
 NULL_ID = -(1 << 63)
 

@@ -11,8 +11,10 @@ is the anchor of. These suffixes are range-partitioned by splitters sampled from
 multikey quicksort, token by token.
 
 * Suffixes equal in both tokens are equal windows: all but the first (by doc_id, start) are repeats.
-* First ones whose leading token has other continuations may share a part of their windows. Their windows are compared one
-  by one: in the document's own task first, then by the windows' 128-bit hashes across tasks.
+* First ones whose leading token has other continuations may share a part of their windows. A shared window reaches half
+  of what it has besides the k bytes to their left or to their right, so only those stay that agree with another one there
+  (by 16 bits each, which an anchor carries along). Their windows are compared one by one by 96 bits of hashes: in the
+  document's own task first, then across tasks.
 * Groups that a splitter cuts are compared across bucket boundaries by their first members.
 
 Null texts are empty. Rows that share a doc_id count as one document, the one with the greatest text (a null doc_id is such
@@ -33,18 +35,20 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NULL_ID, U64, Prefix, mix, row_slices, single, stored, texts, width
+from .blocks import NULL_ID, U64, Prefix, mix, row_slices, single, spread, stored, texts, width
 
-SPAN, K = 100, 28
+SPAN, K = 100, 20
 #: Documents are sampled for splitters at this rate, at least one of so many and up to so many suffixes in all.
 SAMPLE, SAMPLED = 0.01, 20_000
 _LOW = U64((1 << 24) - 1)
 #: Window starts that one segment of a long document has at most; below 2**24.
-_SEGMENT = 1 << 20
+_SEGMENT = (1 << 19) - (1 << 10)
 
 
 def anchors(data: np.ndarray, off: np.ndarray, span: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """For each segment of the rows' bytes: (token 0, token 1, row, start of the first window, windows less one)."""
+    """For each segment of the rows' bytes: (token 0, token 1, row, start of the first window, windows less one, left, right).
+
+    left and right: 16 bits of the hashes of the k bytes with what is to one side of them, 0 where no window has that much."""
     first, last = int(off[0]), int(off[-1])
     at = first
     while last - at >= span:
@@ -66,7 +70,11 @@ def anchors(data: np.ndarray, off: np.ndarray, span: int, k: int) -> Iterator[tu
         new = np.concatenate(([True], (place[1:] != place[:-1]) | (row[1:] != row[:-1]))) & valid
         stop = np.concatenate((new[1:] | ~valid[1:], [True])) & valid
         p0, p1 = np.flatnonzero(new), np.flatnonzero(stop)
-        yield gram[place[p0]], two.of(p0, p1 + span), row[p0], p0 + at - off[row[p0]], p1 - p0
+        a, side = place[p0], -(-(span - k) // 2)
+        wide = np.stack((a - p0 >= side, a - p1 <= span - k - side))
+        left = np.where(wide[0], two.of(np.where(wide[0], a - side, 0), a + k) % U64(65535) + U64(1), 0)
+        right = np.where(wide[1], two.of(a, np.where(wide[1], a + k + side, a)) % U64(65535) + U64(1), 0)
+        yield gram[a], two.of(p0, p1 + span), row[p0], p0 + at - off[row[p0]], p1 - p0, left.astype(np.uint16), right.astype(np.uint16)
         at = end - span + 1 if end < last else last
 
 
@@ -76,7 +84,7 @@ def _grams(prefix: Prefix, n: int, k: int) -> np.ndarray:
 
 # ---- the suffixes' way into sorted buckets --------------------------------------------------------------------------
 
-_COLUMNS = (("t0", U64), ("t1", U64), ("doc", np.int64), ("start", np.uint32), ("more", np.uint8))
+_COLUMNS = (("t0", U64), ("t1", U64), ("doc", np.int64), ("start", np.uint32), ("more", np.uint8), ("left", np.uint16), ("right", np.uint16))
 
 
 def _pack(columns: list[np.ndarray]) -> bytes:
@@ -127,14 +135,14 @@ def _suffixes(batch: pa.RecordBatch, span: int, k: int) -> Iterator[list[np.ndar
     ids = np.asarray(batch.column("doc_id")).astype(np.int64)
     data, off = texts(batch)
     for a, b in row_slices(off, _SEGMENT):
-        for t0, t1, row, start, more in anchors(data, off[a : b + 1], span, k):
-            yield [t0, t1, ids[a + row], start.astype(np.uint32), more.astype(np.uint8)]
+        for t0, t1, row, start, more, left, right in anchors(data, off[a : b + 1], span, k):
+            yield [t0, t1, ids[a + row], start.astype(np.uint32), more.astype(np.uint8), left, right]
 
 
 def _sampled(span: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t0, t1, doc, start, _ in _suffixes(batch, span, k):
+            for t0, t1, doc, start, *_ in _suffixes(batch, span, k):
                 pick = slice(0, len(t0), max(1, len(t0) // 64))
                 yield pa.RecordBatch.from_pydict({"t0": t0[pick].view(np.int64), "t1": t1[pick].view(np.int64), "doc": doc[pick], "start": start[pick].astype(np.int64)})
 
@@ -209,18 +217,20 @@ def _sorted_bucket(split: Splitters, homes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         payloads = [p for batch in batches for p in batch.column("payload").to_pylist()]
-        t0, t1, doc, start, more = _unpack(payloads, tuple(t for _, t in _COLUMNS))
+        t0, t1, doc, start, more, left, right = _unpack(payloads, tuple(t for _, t in _COLUMNS))
         del payloads
         if not len(t0):
             return
         order = multikey_quicksort([t0, t1, doc.view(U64) ^ U64(1 << 63), start.astype(U64)])
-        t0, t1, doc, start, more = (c[order] for c in (t0, t1, doc, start, more))
+        t0, t1, doc, start, more, left, right = (c[order] for c in (t0, t1, doc, start, more, left, right))
         new0 = np.concatenate(([True], t0[1:] != t0[:-1]))
         new1 = np.concatenate(([True], t1[1:] != t1[:-1])) | new0
         group = np.cumsum(new0) - 1
         kinds = np.bincount(group, weights=new1)[group]
         cut = split.cuts(t0)
-        repeat, ask, lead = ~new1, new1 & (kinds > 1) & ~cut, new1 & cut
+        ask = np.flatnonzero(new1 & (kinds > 1) & ~cut)
+        ask = ask[_agreeing(group[ask], left[ask]) | _agreeing(group[ask], right[ask])]
+        repeat, lead = np.flatnonzero(~new1), new1 & cut
         for kind, mask in ((0, repeat), (1, ask)):
             yield from _by_home(kind, [doc[mask], start[mask], more[mask]], homes)
         i = np.flatnonzero(lead)
@@ -231,6 +241,13 @@ def _sorted_bucket(split: Splitters, homes: int):
     return run
 
 
+def _agreeing(group: np.ndarray, side: np.ndarray) -> np.ndarray:
+    """Whether another member of the same group has the same side (0 is none)."""
+    key = group.astype(np.int64) << 16 | side
+    _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+    return (count[inverse] > 1) & (side > 0)
+
+
 def _home(doc: np.ndarray, homes: int) -> np.ndarray:
     return (mix(doc.view(U64)) % U64(homes)).astype(np.int32)
 
@@ -252,7 +269,7 @@ def _by_home(kind: int, columns: list[np.ndarray], homes: int) -> Iterator[pa.Re
 
 _HOME = "home int, kind int, payload binary, doc long"
 _RANGE = (np.int64, np.uint32, np.uint8)
-_WINDOW = (U64, U64, np.int64, np.uint32)
+_WINDOW = (U64, np.uint32, np.int64, np.uint32)
 
 
 def _text_rows(homes: int):
@@ -295,16 +312,16 @@ _STEP = "bucket int, payload binary, doc long, kind int"
 
 
 def _windows(span: int, homes: int, buckets: int):
-    """Compares asked windows inside the task; the first of each goes on. Documents travel on with their ranges so far."""
+    """Compares asked windows inside the task; the first of each goes on, the others are repeats."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, pack = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1)
-        repeats = asks = None
+        unpack = zstandard.ZstdDecompressor()
+        asks = None
         out: list[list[np.ndarray]] = []
-        for held, doc, packed in _bucketed(batches):
-            if repeats is None:
-                repeats, asks = _Ranges(held[0], _RANGE), _Ranges(held[1], _RANGE)
-                held[0], held[1] = [], []
+        for held, doc, packed in _bucketed(batches, (1,)):
+            if asks is None:
+                asks = _Ranges(held[1], _RANGE)
+                held[1] = []
             start, more = asks.of(doc)
             if len(start):
                 data = np.frombuffer(unpack.decompress(packed.as_buffer()), np.uint8)
@@ -315,17 +332,15 @@ def _windows(span: int, homes: int, buckets: int):
                     here = p[(p >= at) & (p < at + _SEGMENT)] - at
                     if len(here):
                         part = data[at:end]
-                        out.append([Prefix(part, 1).of(here, here + span), Prefix(part, 2).of(here, here + span), np.full(len(here), doc), (here + at).astype(np.uint32)])
-        if repeats is not None:
-            r = repeats.columns
-            yield from _step(2, [r[0], r[1], r[2]], _home(r[0], homes))
+                        out.append([Prefix(part, 1).of(here, here + span), (Prefix(part, 2).of(here, here + span) >> U64(32)).astype(np.uint32), np.full(len(here), doc), (here + at).astype(np.uint32)])
         if out:
             h1, h2, doc, p = (np.concatenate(c) for c in zip(*out))
             order = np.lexsort((p, doc, h2, h1))
             h1, h2, doc, p = h1[order], h2[order], doc[order], p[order]
             first = np.concatenate(([True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])))
             yield from _step(1, [h1[first], h2[first], doc[first], p[first]], (h1[first] % U64(buckets)).astype(np.int32))
-            yield from _step(3, _runs(doc[~first], p[~first]), None, homes)
+            again = _runs(doc[~first], p[~first])
+            yield from _step(3, again, (mix(again[0].view(U64)) % U64(buckets)).astype(np.int32))
 
     return run
 
@@ -359,10 +374,15 @@ def _step(kind: int, columns: list[np.ndarray], bucket, homes: int = 0) -> Itera
 
 
 def _settled(homes: int):
-    """Of one bucket of windows: every one but the first of its string, as runs for its document's home."""
+    """Of buckets of windows: every one but the first of its string, as runs for its document's home; known runs too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h1, h2, doc, p = _unpack([p for batch in batches for p in batch.column("payload").to_pylist()], _WINDOW)
+        got: dict[int, list[bytes]] = {1: [], 3: []}
+        for batch in batches:
+            for kind, payload in zip(batch.column("kind").to_pylist(), batch.column("payload").to_pylist()):
+                got[kind].append(payload)
+        yield from _step(3, _unpack(got[3], _RANGE), None, homes)
+        h1, h2, doc, p = _unpack(got[1], _WINDOW)
         if not len(h1):
             return
         order = np.lexsort((p, doc, h2, h1))
@@ -388,10 +408,10 @@ def _removed(span: int, with_text: bool):
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.string())
             return pa.RecordBatch.from_pydict({n.split()[0]: pa.array(c, t) for n, c, t in zip(_RESULT.split(", "), columns, kinds)})
 
-        for held, doc, packed in _bucketed(batches, (2, 3)):
+        for held, doc, packed in _bucketed(batches, (0, 3)):
             if ranges is None:
-                ranges = _Ranges(held[2] + held[3], _RANGE)
-                held[2], held[3] = [], []
+                ranges = _Ranges(held[0] + held[3], _RANGE)
+                held[0], held[3] = [], []
             data = unpack.decompress(packed.as_buffer())
             start, more = ranges.of(doc)
             a, b = union(start.astype(np.int64), start.astype(np.int64) + more + span)
@@ -430,7 +450,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = K, with_text: boo
     n = width(spark)
     docs = single(docs)
     split = splitters(docs, n, span, k)
-    dealt = docs.mapInArrow(_deal(split, span, k), "bucket int, payload binary").repartition(n, "bucket")
+    dealt = spread(docs.mapInArrow(_deal(split, span, k), "bucket int, payload binary"), n, "bucket")
     found = stored(dealt.mapInArrow(_sorted_bucket(split, n), _FOUND), "suffix-found")
 
     leads = found.where("kind = 2")  # compare across boundaries: first members of groups that a splitter cuts
@@ -441,12 +461,11 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = K, with_text: boo
     extra = leads.mapInArrow(_lead_rows(n), _HOME)
 
     rows = docs.mapInArrow(_text_rows(n), _HOME)
-    met = rows.unionByName(found.where("kind < 2").select("home", "kind", "payload", F.lit(None).cast("long").alias("doc"))).unionByName(extra)
-    met = met.repartition(n, "home").sortWithinPartitions("kind")
-    asked = stored(met.mapInArrow(_windows(span, n, n), _STEP), "suffix-windows")
-    settled = asked.where("kind = 1").select("bucket", "payload").repartition(n, "bucket").mapInArrow(_settled(n), _STEP)
-    final = rows.unionByName(asked.where("kind > 1").unionByName(settled).select(F.col("bucket").alias("home"), "kind", "payload", "doc"))
-    final = final.repartition(n, "home").sortWithinPartitions("kind")
+    ranges = found.where("kind < 2").select("home", "kind", "payload", F.lit(None).cast("long").alias("doc")).unionByName(extra)
+    met = spread(rows.unionByName(ranges.where("kind = 1")), n, "home").sortWithinPartitions("kind")
+    asked = spread(met.mapInArrow(_windows(span, n, n), _STEP), n, "bucket")
+    settled = asked.mapInArrow(_settled(n), _STEP).select(F.col("bucket").alias("home"), "kind", "payload", "doc")
+    final = spread(rows.unionByName(ranges.where("kind = 0")).unionByName(settled), n, "home").sortWithinPartitions("kind")
     return final.mapInArrow(_removed(span, with_text), _RESULT)
 
 
