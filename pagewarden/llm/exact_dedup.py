@@ -153,19 +153,21 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salt
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of docs that stay, with all their columns; the text travels compressed and comes back as it was."""
-    id_type = docs.schema[id_col].dataType
+    names = docs.columns
+    if not isinstance(docs.schema[id_col].dataType, (T.LongType, T.IntegerType)):
+        raise TypeError(f"{id_col} must be an integer column")
+    id_col, text_col = (f"c{names.index(c)}" for c in (id_col, text_col))
+    docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # own names, which no column of ours has
     fields = [f for f in docs.schema if f.name != text_col]
     schema = T.StructType(fields + [T.StructField(f"{P}null", T.BooleanType()), T.StructField(f"{P}digest", T.BinaryType()), T.StructField(f"{P}salt", T.IntegerType()), T.StructField(f"{P}n", T.LongType()), T.StructField(f"{P}key", T.LongType()), T.StructField(f"{P}text", T.BinaryType())])
-    if not isinstance(id_type, (T.LongType, T.IntegerType)):
-        raise TypeError(f"{id_col} must be an integer column")
     won = _combine(docs.mapInArrow(_local(id_col, text_col, salts, False), schema), id_col, False)
-    names = docs.schema.names
+    inner = docs.columns
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             none = batch.column(f"{P}null").to_pylist()
             text = pa.array([None if no else unpack.decompress(t.as_buffer()).decode() for t, no in zip(batch.column(f"{P}text"), none)], pa.string())
-            yield pa.RecordBatch.from_pydict({c: text if c == text_col else batch.column(c) for c in names})
+            yield pa.RecordBatch.from_pydict({c: text if c == text_col else batch.column(c) for c in inner})
 
-    return won.mapInArrow(unpacked, docs.schema)
+    return won.mapInArrow(unpacked, docs.schema).toDF(*names)
