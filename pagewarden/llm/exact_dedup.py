@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import stored, width
+from .blocks import lean, stored, width
 
 SALTS = 16
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
@@ -68,7 +68,7 @@ def _local(id_col: str, text_col: str, salts: int, members: bool):
             cols |= {f"{P}digest": pa.array(digest, pa.binary()), f"{P}salt": pa.array(salt, pa.int32()), f"{P}n": pa.array(count, pa.int64()), f"{P}key": pa.array(key, pa.int64()), f"{P}text": pa.array(raw, pa.binary())}
             yield pa.RecordBatch.from_pydict(cols)
 
-    return run
+    return lean(run)
 
 
 class _Group:
@@ -123,7 +123,7 @@ def _merge(id_col: str, names: list[str], keyed: bool, last: bool):
         if out:
             yield flush()
 
-    return run
+    return lean(run)
 
 
 def _combine(local: DataFrame, id_col: str, keyed: bool) -> DataFrame:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, mix, row_slices, shingles, stored, texts, width, word_hashes
+from .blocks import U64, lean, mix, row_slices, shingles, stored, texts, width, word_hashes
 from .components import components
 
 #: Cells of the word-count sketch (its levels take one byte each where they are used).
@@ -45,6 +45,7 @@ DENSE = 32
 # ---- 1: word counts -------------------------------------------------------------------------------------------------
 
 
+@lean
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(CELLS, np.uint32)
     for batch in batches:
@@ -61,6 +62,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"part": pa.array([k for k, _ in parts], pa.int32()), "counts": pa.array([p for _, p in parts], pa.binary())})
 
 
+@lean
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack, sums = zstandard.ZstdDecompressor(), {}
     for batch in batches:
@@ -180,7 +182,7 @@ def _post(n: int, percent: int, buckets: int, levels):
                     pay_out.append(_pack(t[o], packed_size[o], keys[r[o]], ids[a + d], null[a + d], size[d], keys[d]))
             yield pa.RecordBatch.from_pydict({"bucket": pa.array(bucket_out, pa.int32()), "payload": pa.array(pay_out, pa.binary())})
 
-    return run
+    return lean(run)
 
 
 _CHAIN = "kind string, a binary, b binary, doc_id long, n long, token long, band int"
@@ -224,7 +226,7 @@ def _chain(percent: int):
             inner = np.flatnonzero(~lead)  # the chain may break inside a band: tie every member to the one before it
             yield _rows("edge", a=key[salted][inner], b=key[salted][inner - 1])
 
-    return run
+    return lean(run)
 
 
 def _rows(kind: str, a, b=None, **more) -> pa.RecordBatch:
@@ -328,7 +330,7 @@ def _block(n: int, percent: int):
         if len(rows) > 1:
             yield solve(rows)
 
-    return run
+    return lean(run)
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:

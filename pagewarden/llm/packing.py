@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import stored, width
+from .blocks import lean, stored, width
 from .subwords import default_path, subwords
 
 BUCKETS, BUDGET = 16, 65_536
@@ -37,7 +37,7 @@ def _lengths(tokenizer: str):
                 n += [len(x) // wide + 1 for x in encoder.encode([t or "" for t in text.slice(at, 256).to_pylist()])]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64())})
 
-    return run
+    return lean(run)
 
 
 def lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
@@ -129,6 +129,7 @@ def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, tokenize
     )
 
 
+@lean
 def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 

@@ -33,7 +33,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .blocks import NULL_ID, shared_dir, single, stored, width
+from .blocks import NULL_ID, lean, shared_dir, single, stored, width
 from .subwords import default_path, subwords
 
 #: Bytes of values after which a block ends; entries from one restart to the next; bits of the filter for each key.
@@ -251,7 +251,7 @@ def _write(folder: str, tokenizer: str):
         fs.move(where + ".tmp", where)
         yield pa.RecordBatch.from_pydict({c.split()[0]: pa.array([v], pa.string() if "string" in c else pa.int64()) for c, v in zip(_MANIFEST.split(", "), (path, writer.first, writer.top, writer.docs, writer.ids, size))})
 
-    return run
+    return lean(run)
 
 
 def write_shards(docs: DataFrame, tokenizer: str | None = None, folder: str | None = None) -> DataFrame:
@@ -261,6 +261,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, folder: str | No
     return stored(ordered.mapInArrow(_write(folder, tokenizer or default_path()), _MANIFEST), "sst-manifest")
 
 
+@lean
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist()):

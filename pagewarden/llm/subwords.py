@@ -8,6 +8,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .blocks import AT_END
+
 #: Chunks whose ids one process keeps at most in each of two generations.
 KEPT = 300_000
 #: Characters of a text that are cut into chunks at once.
@@ -114,6 +116,10 @@ class Subwords:
         kept.now.update(zip(plain, self._spaced(plain)))
         kept.now.update((c, self._one(" " + c)) for c in odd)
 
+    def forget(self) -> None:
+        for kept in (self.first, self.later, self.words):
+            kept.now, kept.old = {}, {}
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``kind``."""
         pieces, owner = [], []
@@ -171,8 +177,8 @@ def _loaded(path: str) -> Subwords:
 
 
 def subwords(path: str) -> Subwords:
-    """The process's encoder, with nothing kept of an earlier task."""
+    """The process's encoder; what it keeps goes when the task ends."""
     out = _loaded(path)
-    for kept in (out.first, out.later, out.words):
-        kept.now, kept.old = {}, {}
+    if out.forget not in AT_END:
+        AT_END.append(out.forget)
     return out

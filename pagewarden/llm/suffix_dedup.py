@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NULL_ID, U64, Prefix, mix, row_slices, single, spread, stored, texts, width
+from .blocks import NULL_ID, Prefix, U64, lean, mix, row_slices, single, spread, stored, texts, width
 
 SPAN, K = 100, 20
 #: Documents are sampled for splitters at this rate, at least one of so many and up to so many suffixes in all.
@@ -146,7 +146,7 @@ def _sampled(span: int, k: int):
                 pick = slice(0, len(t0), max(1, len(t0) // 64))
                 yield pa.RecordBatch.from_pydict({"t0": t0[pick].view(np.int64), "t1": t1[pick].view(np.int64), "doc": doc[pick], "start": start[pick].astype(np.int64)})
 
-    return run
+    return lean(run)
 
 
 def splitters(docs: DataFrame, buckets: int, span: int = SPAN, k: int = K) -> Splitters:
@@ -177,7 +177,7 @@ def _deal(split: Splitters, span: int, k: int):
                 _send(held, split, where, payload)
             yield pa.RecordBatch.from_pydict({"bucket": pa.array(where, pa.int32()), "payload": pa.array(payload, pa.binary())})
 
-    return run
+    return lean(run)
 
 
 def _send(held, split, where, payload) -> None:
@@ -238,7 +238,7 @@ def _sorted_bucket(split: Splitters, homes: int):
             none = pa.nulls(len(i), pa.int32())
             yield pa.RecordBatch.from_pydict({"home": none, "kind": pa.array([2] * len(i), pa.int32()), "payload": pa.nulls(len(i), pa.binary()), "t0": t0[i].view(np.int64), "t1": t1[i].view(np.int64), "doc": doc[i], "start": start[i].astype(np.int64), "more": more[i].astype(np.int32)})
 
-    return run
+    return lean(run)
 
 
 def _agreeing(group: np.ndarray, side: np.ndarray) -> np.ndarray:
@@ -280,7 +280,7 @@ def _text_rows(homes: int):
             data, off = texts(batch)
             yield pa.RecordBatch.from_pydict({"home": pa.array(_home(ids, homes)), "kind": pa.array([9] * len(ids), pa.int32()), "payload": pa.array([pack.compress(data[off[i] : off[i + 1]].tobytes()) for i in range(len(ids))], pa.binary()), "doc": ids})
 
-    return run
+    return lean(run)
 
 
 class _Ranges:
@@ -342,7 +342,7 @@ def _windows(span: int, homes: int, buckets: int):
             again = _runs(doc[~first], p[~first])
             yield from _step(3, again, (mix(again[0].view(U64)) % U64(buckets)).astype(np.int32))
 
-    return run
+    return lean(run)
 
 
 def _runs(doc: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
@@ -390,7 +390,7 @@ def _settled(homes: int):
         again = np.concatenate(([False], (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])))
         yield from _step(3, _runs(doc[again], p[again]), None, homes)
 
-    return run
+    return lean(run)
 
 
 _RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, stops array<long>, text string"
@@ -430,7 +430,7 @@ def _removed(span: int, with_text: bool):
         if rows:
             yield flush()
 
-    return run
+    return lean(run)
 
 
 def union(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -479,4 +479,4 @@ def _lead_rows(homes: int):
                 for got in _by_home(k, [doc[m].astype(np.int64), start[m].astype(np.uint32), more[m].astype(np.uint8)], homes):
                     yield pa.RecordBatch.from_pydict({c: got.column(c) for c in ("home", "kind", "payload", "doc")})
 
-    return run
+    return lean(run)

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .blocks import lean
+
 #: At most so many labelled rows are learned from (those with the smallest hash of their id).
 LABELS = 20_000
 #: At most so many terms are weighed, and so many exception phrases kept.
@@ -82,6 +84,7 @@ def sample(docs: DataFrame, labels: DataFrame, most: int = LABELS) -> DataFrame:
     return docs.join(F.broadcast(own), F.col("doc_id") == F.col("_label_id")).select("doc_id", F.col("text").cast("string").alias("text"), F.col("_toxic").alias("toxic"))
 
 
+@lean
 def _count_toxic(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of toxic rows: for each term the documents with it and up to eight different neighbourhoods."""
     for batch in batches:
@@ -108,7 +111,7 @@ def _count_clean(terms: frozenset[str]):
                     docs[term] = docs.get(term, 0) + 1
             yield pa.RecordBatch.from_pydict({"term": pa.array(list(docs), pa.string()), "neg": pa.array(list(docs.values()), pa.int64())})
 
-    return run
+    return lean(run)
 
 
 def _count_phrases(lexicon: dict[str, float]):
@@ -124,7 +127,7 @@ def _count_phrases(lexicon: dict[str, float]):
                     found.setdefault(p, [0, 0])[0 if toxic else 1] += 1
             yield pa.RecordBatch.from_pydict({"phrase": pa.array(list(found), pa.string()), "pos": pa.array([x[0] for x in found.values()], pa.int64()), "neg": pa.array([x[1] for x in found.values()], pa.int64())})
 
-    return run
+    return lean(run)
 
 
 class Model:
@@ -206,7 +209,7 @@ def _evidence(model: Model):
             found = [model.evidence(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"evidence": pa.array([e for e, _ in found], pa.float64()), "words": pa.array([w for _, w in found], pa.int64()), "toxic": batch.column("toxic").cast(pa.int32())})
 
-    return run
+    return lean(run)
 
 
 def _curve(evidence: np.ndarray, words: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
