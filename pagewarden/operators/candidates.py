@@ -57,7 +57,7 @@ def index_starts(mains: DataFrame) -> DataFrame:
 def registered_starts(table: DataFrame, starts: DataFrame, links: DataFrame, now: Column) -> DataFrame:
     """The URL table with new starts added, index rows that are none parked, and parked ones that are again restored."""
     keys = starts.where("p.rejection IS NULL").select(F.col("p.dedup_key").alias("dedup_key")).distinct()
-    parked = park(table, keys, links).select("id", F.lit(True).alias("_park"))
+    parked = park(table.withColumn("url_id", F.col("id")), keys, links).select("id", F.lit(True).alias("_park"))
     back = keys.select("dedup_key", F.lit(True).alias("_start"))
     rows = table.join(parked, "id", "left").join(back, "dedup_key", "left")
     restore = (F.col("role") == "index") & (F.col("status") == "retired") & F.col("_start").isNotNull()

@@ -167,3 +167,43 @@ def test_stream_step_is_the_rule(spark):
     cases = [(s, m, o) for s in ("active", "deletion_candidate", "deleted", "moved") for m in (0, 2) for o in seen]
     rows = spark.createDataFrame(cases, "s string, m int, o string").select("s", "m", "o", decisions.next_state(F.col("s"), F.col("m"), F.col("o")).alias("n")).collect()
     assert all((r.n.state, r.n.misses) == step(r.s, r.m, r.o) for r in rows)
+
+
+def test_replayed_fetches(spark):
+    from pagewarden.sources.replay import fetches, follow
+
+    pages = {"https://a.jp/1": (301, {"location": "/2"}, b""), "https://a.jp/2": (200, {"content-type": "text/html"}, b"<p>x"), "https://a.jp/l": (302, {"location": "/l"}, b""), "https://a.jp/o": (301, {"location": "https://b.jp/"}, b""), "https://a.jp/m": (301, {}, b"")}
+    ask = lambda u: pages.get(u, "timeout")
+    got = {u: follow(f"https://a.jp/{u}", {"https://a.jp"}, ask)["outcome"] for u in "12lomx"}
+    assert got == {"1": "response", "2": "response", "l": "redirect_loop", "o": "out_of_scope", "m": "missing_location", "x": "network"}
+    claims = spark.createDataFrame([("u", "https://a.jp/1", "https://a.jp")], "url_id string, url string, host_key string")
+    row = fetches(claims, {"https://a.jp"}, ask).first()
+    assert [h.status for h in row.hops] == [301, 200] and bytes(row.body) == b"<p>x"
+
+
+def test_answers(spark, tmp_path):
+    from pagewarden import api
+
+    store = Store(spark, f"file://{tmp_path}/db")
+    registry_import.import_registry(store, load(spark, tmp_path, REGISTRY), now())
+    body = api.area_programs(store, "131130", "12")
+    assert [p["um"] for p in body["data"]] == ["UM3", "UM24", "UM58"] and body["data"][0]["auto_update"] is True
+    assert api.program(store, body["data"][0]["id"])["data"]["url"].startswith("https://a.jp/")
+    for call, status in ((lambda: api.area_programs(store, "000000"), 404), (lambda: api.area_programs(store, "131130", "-1"), 400), (lambda: api.program(store, "x"), 404)):
+        try:
+            call()
+            raise AssertionError
+        except (api.NotFound, api.BadRequest) as e:
+            assert api.error(e)[0] == status
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from pagewarden import cli
+
+    (tmp_path / "r.json").write_text(json.dumps(REGISTRY, ensure_ascii=False))
+    db = f"file://{tmp_path}/db"
+    assert cli.main([db, "import-registry", "--source", str(tmp_path / "r.json")], spark) == 0
+    assert cli.main([db, "register-index"], spark) == 0
+    assert Store(spark, db).read("urls").where("role = 'index' AND priority = 90").select("normalized_url").first()[0] == "https://a.jp/kosodate/"
+    assert cli.main([db, "programs", "131130"], spark) == 0 and cli.main([db, "programs", "9"], spark) == 1
+    assert "児童手当" in capsys.readouterr().out
