@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import U64, lean, mix, row_slices, shingles, stored, texts, width, word_hashes
+from .blocks import U64, fanned, lean, mix, row_slices, shingles, stored, texts, width, word_hashes
 from .components import components
 
 #: Cells of the word-count sketch (its levels take one byte each where they are used).
@@ -62,6 +62,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"part": pa.array([k for k, _ in parts], pa.int32()), "counts": pa.array([p for _, p in parts], pa.binary())})
 
 
+@lean
+def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of slices, as slices again; a count stops at the type's largest value."""
+    unpack, pack, sums = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), {}
+    for batch in batches:
+        for k, p in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
+            part = np.frombuffer(unpack.decompress(p), np.uint32).astype(np.uint64)
+            sums[k] = sums[k] + part if k in sums else part
+    yield pa.RecordBatch.from_pydict({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([pack.compress(np.minimum(v, 0xFFFFFFFF).astype(np.uint32).tobytes()) for v in sums.values()], pa.binary())})
+
+
 @lean
 def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack, sums = zstandard.ZstdDecompressor(), {}
@@ -78,7 +89,9 @@ def _level(count: np.ndarray) -> np.ndarray:
 
 def word_levels(docs: DataFrame) -> np.ndarray:
     """For each cell of the sketch 4 * log2 of the count of its words over all documents; fixed size."""
-    parts = docs.select("text").mapInArrow(_count_words, "part int, counts binary").repartition(min(CELLS // _SLICE, width(docs.sparkSession)), "part")
+    n = width(docs.sparkSession)
+    parts = docs.select("text").mapInArrow(_count_words, "part int, counts binary")
+    parts = fanned(parts, n, "part").mapInArrow(_merge_counts, "part int, counts binary").repartition(min(CELLS // _SLICE, n), "part")
     out = np.zeros(CELLS, np.uint8)
     for row in parts.mapInArrow(_add_counts, "part int, levels binary").collect():
         out[row.part * _SLICE : (row.part + 1) * _SLICE] = np.frombuffer(row.levels, np.uint8)

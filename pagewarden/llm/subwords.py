@@ -28,7 +28,13 @@ def _tokenizers(path: str):
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, tokenizer.model
+
+
+#: A word of Latin letters and one mark at most.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)\Z")
+#: How a byte-level vocabulary shows the bytes that are no visible character of their own: as the characters from 256 on.
+_SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -86,7 +92,7 @@ class Subwords:
     text and told apart by the space that only their first id holds."""
 
     def __init__(self, path: str, kept: int = KEPT):
-        self.ids = _tiktoken(path) if path.endswith(".tiktoken") else _tokenizers(path)
+        self.ids, self.model = (_tiktoken(path), None) if path.endswith(".tiktoken") else _tokenizers(path)
         self.spaced = _begins_with_space(path)
         self.first, self.later, self.words = _Kept(kept // 4), _Kept(kept), _Kept(kept)
         self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32
@@ -95,7 +101,28 @@ class Subwords:
         return np.array(self.ids(text), self.kind).tobytes()
 
     def _spaced(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk with a space before it."""
+        """The ids of each chunk with a space before it. Latin words, with one mark behind them at most, are pieces that
+        the splitting of a text cannot change, so the library's model takes them as they are."""
+        if self.model is None:
+            return self._joined(chunks)
+        out, rest = [b""] * len(chunks), []
+        tokenize = self.model.tokenize
+        for i, c in enumerate(chunks):
+            m = _PLAIN.match(c)
+            if m is None:
+                rest.append(i)
+                continue
+            word, mark = m.groups()
+            word = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+            ids = [t.id for t in tokenize("Ġ" + word)]
+            if mark:
+                ids += [t.id for t in tokenize(mark)]
+            out[i] = np.array(ids, self.kind).tobytes()
+        for i, ids in zip(rest, self._joined([chunks[i] for i in rest])):
+            out[i] = ids
+        return out
+
+    def _joined(self, chunks: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(chunks), 2000):
             some = chunks[at : at + 2000]
