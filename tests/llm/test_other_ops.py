@@ -5,7 +5,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -151,6 +153,25 @@ def test_windows_score_every_id_once():
         assert places == list(range(n))
 
 
+def test_training_takes_every_window_once(monkeypatch):
+    r = np.random.Generator(np.random.PCG64(3))
+    ids = [r.integers(0, 300, n).astype(np.uint16) for n in (1, 40, 700, 5000)]
+    batch = pa.RecordBatch.from_pydict({"payload": pa.array([zstandard.compress(x.tobytes()) for x in ids], pa.binary())})
+    model = lm.Model(np.arange(lm.END + 1), np.arange(lm.END + 1) % 2 == 0)
+    model.of = np.arange(lm.END + 1) % 251  # so that windows can be told apart
+    seen = Counter()
+
+    def gradient(w, bigram, x, y, on):
+        seen.update(zip(map(bytes, y.astype(np.uint8)), on.sum(1).tolist()))
+        return {c: np.zeros_like(v) for c, v in w.items()}
+
+    monkeypatch.setattr(lm, "gradient", gradient)
+    n = sum(out.column("n")[0].as_py() for turn in range(lm.ROUNDS) for out in lm._train(model, turn)(iter([batch])))
+    _, y, begin, lengths, text, start, _ = lm._placed(lm._ids(batch))
+    every = Counter((bytes(model.of[y[np.minimum(begin[t] + s + np.arange(lm.LENGTH), len(y) - 1)]].astype(np.uint8)), float(min(lm.LENGTH, lengths[t] - s))) for t, s in zip(text, start))
+    assert n == len(text) and seen == every
+
+
 def test_lm_scores(spark):
     rows = [(i, prose(i % 40, 40 + i % 7), "en", "s", 1) for i in range(300)] + [(900, None, None, None, None), (None, "nothing", None, None, None)]
     df = frame(spark, rows)
