@@ -8,7 +8,8 @@ that an item has too is hit. An item of fewer words than ``length``, but not non
 own, with every span of their lengths.
 
 Null and empty texts have no words. Rows with the same doc_id count as one document, whose words are those of its longest
-row and whose hits are those of all its rows; a null doc_id is one such document. Items of equal text all count. Extra columns are ignored. An empty
+row and whose hits are those of all its rows; a null doc_id is one such document. Items of equal text all count. Items
+with a null item_id hit like others; all of them are one item in n_items and none in items and items_sha256. Extra columns are ignored. An empty
 benchmark leaves every document clean; empty documents give an empty result.
 """
 
@@ -57,7 +58,7 @@ def spans_hit(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int =
 
     items = _hashed(benchmark.select("item_id", "text"), "item_id", length, k)
     prints = items.select(F.explode(F.transform(_least(F.col("g"), window), lambda p: F.element_at("g", p + 1))).alias("f")).distinct()
-    spans = items.select("item_id", F.explode("s").alias("span")).distinct()
+    spans = items.select("item_id", F.explode("s").alias("span")).distinct().withColumn("known", F.lit(True))
 
     near = lambda p: F.slice("s", F.greatest(p - (length - k), F.lit(0)) + 1, F.lit(length - k + 1) + F.least(p - (length - k), F.lit(0)))
     marks = F.transform(_least(F.col("g"), window), lambda p: F.struct(p.alias("at"), F.element_at("g", p + 1).alias("f"), near(p).alias("near")))
@@ -66,7 +67,7 @@ def spans_hit(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int =
     met = rows.join(prints.withColumn("met", F.lit(True)), "f", "left").where("met OR at < 0")
     met = met.select("doc_id", "n_words", "at", F.posexplode_outer("near").alias("k", "span"))
     met = met.select("doc_id", "n_words", (F.greatest(F.col("at") - (length - k), F.lit(0)) + F.col("k")).alias("start"), "at", "span")
-    found = met.join(spans, "span", "left").where("item_id IS NOT NULL OR at < 0")
+    found = met.join(spans, "span", "left").where("known OR at < 0")
     out = found.select("doc_id", "n_words", F.when(F.col("at") >= 0, F.col("start")).alias("start"), F.lit(length).alias("length"), "item_id")
 
     short = benchmark.select("item_id", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h"))
@@ -79,11 +80,11 @@ def spans_hit(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int =
 
 def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int = 5) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items."""
-    hits = spans_hit(docs, benchmark.where("item_id IS NOT NULL"), length, k)
+    hits = spans_hit(docs, benchmark, length, k)
     place = F.when(F.col("start").isNotNull(), F.struct("start", (F.col("start") + F.col("length")).alias("stop")))
-    per = hits.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(place)).alias("places"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    per = hits.groupBy("doc_id").agg(F.max("n_words").alias("n_words"), F.sort_array(F.collect_set(place)).alias("places"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"), F.max((F.col("start").isNotNull() & F.col("item_id").isNull()).cast("int")).alias("nameless"))
     covered = F.aggregate("places", F.struct(F.lit(0).alias("end"), F.lit(0).cast("bigint").alias("n")), lambda acc, x: F.struct(F.greatest(acc["end"], x["stop"]).alias("end"), (acc["n"] + F.greatest(F.lit(0), x["stop"] - F.greatest(acc["end"], x["start"]))).alias("n")), lambda acc: acc["n"])
-    return per.select("doc_id", F.col("n_words").cast("long").alias("n_words"), covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("items") > 0).alias("contaminated"), "items")
+    return per.select("doc_id", F.col("n_words").cast("long").alias("n_words"), covered.alias("n_hit"), (F.size("items") + F.col("nameless")).cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("places") > 0).alias("contaminated"), "items")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int = 5) -> DataFrame:

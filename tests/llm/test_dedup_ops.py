@@ -121,6 +121,16 @@ def contaminated(rows, items, length=10):
     return out
 
 
+def test_decontamination_by_items_without_an_id(spark):
+    items = [(None, "alpha beta gamma"), (None, " ".join(f"w{k}" for k in range(12))), (4, "gamma delta")]
+    rows = [(1, "x alpha beta gamma y", None, None, None), (2, "a " + items[1][1] + " alpha beta gamma delta", None, None, None), (3, "clean words", None, None, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.contamination(frame(spark, rows), bench).collect()}
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert got == {1: (3, 1, sha(""), True), 2: (16, 2, sha("4"), True), 3: (0, 0, sha(""), False)}
+    assert {r.doc_id for r in decontaminate.clean(frame(spark, rows), bench).collect()} == {3}
+
+
 def test_decontamination(spark):
     rows = documents()
     text = {r[0]: r[1] for r in rows}
