@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import stored
+
 #: Every character that is not part of a word.
 GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -88,6 +90,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: in
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, length: int = 10, k: int = 5) -> DataFrame:
-    """The rows of docs without a hit, unchanged."""
-    bad = contamination(docs, benchmark, length, k).where("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The rows of docs without a hit, unchanged; each row is judged for itself, also where doc_ids repeat or are null."""
+    rows = stored(docs.withColumn("_dc_row", F.monotonically_increasing_id()), "decontaminate-rows")
+    bad = contamination(rows.select(F.col("_dc_row").alias("doc_id"), "text"), benchmark, length, k).where("contaminated").select(F.col("doc_id").alias("_dc_row"))
+    return rows.join(bad, "_dc_row", "left_anti").select(docs.columns)

@@ -131,6 +131,14 @@ def test_decontamination_by_items_without_an_id(spark):
     assert {r.doc_id for r in decontaminate.clean(frame(spark, rows), bench).collect()} == {3}
 
 
+def test_clean_judges_rows_not_ids(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    rows = [(None, "alpha beta gamma", None, None, None), (None, "clean", None, None, None), (1, "so alpha beta gamma", None, None, None), (1, "clean too", None, None, None)]
+    df = clashing(frame(spark, rows))
+    out = decontaminate.clean(df, bench)
+    assert out.columns == df.columns and sorted(r.text for r in out.collect()) == ["clean", "clean too"]
+
+
 def test_decontamination(spark):
     rows = documents()
     text = {r[0]: r[1] for r in rows}
