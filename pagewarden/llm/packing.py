@@ -1,7 +1,7 @@
 """Packing into length buckets that waste the least padding.
 
 Every document's length in tokens (its subword ids and one end token) goes into one global histogram of at most about two
-thousand bins: exact up to 1,024, then in steps of half a per cent. Dynamic programming over the bins finds the boundaries
+thousand bins: exact up to 1,024, then in steps of half a per cent, each ending at its longest document. Dynamic programming over the bins finds the boundaries
 that minimise the padding of all documents when each is padded to the boundary of its bucket. Inside a bucket, documents in
 order of (length, doc_id) fill batches of ``budget // boundary`` rows (one at least), so a batch never holds more padded
 tokens than the budget unless a single document does.
@@ -46,14 +46,6 @@ def lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return docs.mapInArrow(_lengths(tokenizer or default_path("byte_bpe_50k.tiktoken")), "doc_id long, n_tokens long")
 
 
-def edges(longest: int) -> np.ndarray:
-    """Upper ends of the histogram's bins up to the longest length."""
-    out = list(range(1, min(_EXACT, max(1, longest)) + 1))
-    while out[-1] < longest:
-        out.append(min(longest, max(out[-1] + 1, int(out[-1] * _RATIO))))
-    return np.array(out, np.int64)
-
-
 def boundaries(ends: np.ndarray, count: np.ndarray, total: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket boundaries (a subset of ends, the last one included) of least padding.
 
@@ -85,17 +77,11 @@ def boundaries(ends: np.ndarray, count: np.ndarray, total: np.ndarray, buckets:
 
 
 def histogram(sized: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ends, documents and tokens of the bins over all documents."""
-    longest = sized.agg(F.max("n_tokens")).first()[0]
-    ends = edges(longest or 1)
+    """Longest document, documents and tokens of the bins over all documents."""
     log = F.log(F.col("n_tokens") / F.lit(float(_EXACT))) / F.lit(float(np.log(_RATIO)))
     rough = F.when(F.col("n_tokens") <= _EXACT, F.col("n_tokens")).otherwise(_EXACT + F.ceil(log))
-    rows = sized.groupBy(rough.alias("bin")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"), F.max("n_tokens").alias("top")).collect()
-    count, total = np.zeros(len(ends)), np.zeros(len(ends))
-    for r in rows:  # a bin of the query goes to the end that covers its longest document
-        k = int(np.searchsorted(ends, r.top))
-        count[k] += r.n
-        total[k] += r.t
+    rows = sized.groupBy(rough.alias("bin")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"), F.max("n_tokens").alias("top")).orderBy("top").collect()
+    ends, count, total = (np.array([r[c] for r in rows], np.int64) for c in ("top", "n", "t"))
     return ends, count, total
 
 

@@ -50,6 +50,14 @@ def test_boundaries_are_optimal():
         assert cost(packing.boundaries(ends, n, t, k)) == min(cost([*x, 9]) for x in itertools.combinations([1, 3, 4, 7], k - 1))
 
 
+def test_long_lengths_are_boundaries(spark):
+    lengths = (1500, 3010, 5005, 9001, 20011)
+    ends, n, t = packing.histogram(spark.createDataFrame([(x,) for x in lengths for _ in range(20)], "n_tokens long"))
+    assert packing.boundaries(ends, n, t, 16).tolist() == list(lengths) and t.tolist() == [20 * x for x in lengths]
+    none = packing.histogram(spark.createDataFrame([], "n_tokens long"))
+    assert packing.boundaries(*none, 16).tolist() == []
+
+
 def test_packing(spark):
     df = packing.pack(clashing(frame(spark, documents() + [documents()[0], (None, "x", None, None, None)])), buckets=4, budget=2000).toPandas()
     assert len(df) == len(documents()) + 2 and (df.n_tokens <= df.boundary).all() and df.boundary.nunique() <= 4
