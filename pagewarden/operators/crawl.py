@@ -20,7 +20,7 @@ from .store import insert_ignore, upsert, uuid_of
 def claim(urls: DataFrame, picked: DataFrame, worker: str, lease_s: int, now: Column) -> DataFrame:
     """The URL table with the picked ids claimed: token raised, leased. Ids that are no longer claimable stay."""
     free = ~((F.col("status") == "processing") & (F.col("lease_until") > now)) & (F.col("status") != "retired")
-    rows = urls.join(F.broadcast(picked.select("id").distinct().limit(10_000).withColumn("_p", F.lit(True))), "id", "left")
+    rows = urls.join(picked.select("id").distinct().withColumn("_p", F.lit(True)), "id", "left")
     take = F.coalesce(F.col("_p"), F.lit(False)) & free
     until = now + F.make_dt_interval(secs=F.lit(lease_s))
     return _with(rows, urls, take, {"status": F.lit("processing"), "worker_id": F.lit(worker), "lease_until": until, "claim_token": F.col("claim_token") + 1})

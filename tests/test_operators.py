@@ -90,6 +90,12 @@ def urls_table(spark, rows):
     return d.select(*[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.URLS])
 
 
+def test_claim_takes_every_pick(spark):
+    ids = spark.range(10_050).select(F.col("id").cast("string").alias("id"))
+    u = ids.selectExpr("id", "'idle' AS status", "0L AS claim_token", "CAST(NULL AS timestamp) AS lease_until", "CAST(NULL AS string) AS worker_id")
+    assert crawl.claim(u, ids, "w", 600, now()).where("status = 'processing' AND claim_token = 1").count() == 10_050
+
+
 def test_claim_and_complete(spark):
     u = urls_table(spark, [("a", "h", "queued", 1, 0, 0), ("b", "h", "queued", 2, 0, 0), ("c", "g", "retired", 1, 0, 0)])
     keyed = u.withColumnRenamed("id", "url_id")
