@@ -17,7 +17,7 @@ def source_values(registry: Column) -> Column:
     """Texts of a registry row that may hold URLs, in order: the rest of a joined main URL, related links, the description."""
     v = F.parse_json(registry)
     get = lambda path, t: F.try_variant_get(v, path, t)
-    tail = F.slice(urls.split_joined(F.coalesce(get("$.localGovernmentLink.uri", "string"), F.lit(""))), 2, 1000)
+    tail = F.filter(urls.split_joined(F.coalesce(get("$.localGovernmentLink.uri", "string"), F.lit(""))), lambda _, i: i > 0)
     related = F.transform(F.coalesce(F.try_variant_get(v, "$.relatedLink", "array<variant>"), F.array().cast("array<variant>")), lambda x: F.try_variant_get(x, "$.uri", "string"))
     return F.array_compact(F.concat(tail, related, F.array(get("$.description", "string"))))
 

@@ -90,6 +90,12 @@ def urls_table(spark, rows):
     return d.select(*[F.col(f.name) if f.name in d.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.URLS])
 
 
+def test_every_joined_url_is_a_source(spark):
+    links = [f"https://a.jp/{k}" for k in range(1200)]
+    row = spark.createDataFrame([(json.dumps({"localGovernmentLink": {"uri": ",".join(links)}}),), ("{}",)], "r string")
+    assert sorted((r[0] for r in row.select(candidates.source_values(F.col("r"))).collect()), key=len) == [[], links[1:]]
+
+
 def test_claim_takes_every_pick(spark):
     ids = spark.range(10_050).select(F.col("id").cast("string").alias("id"))
     u = ids.selectExpr("id", "'idle' AS status", "0L AS claim_token", "CAST(NULL AS timestamp) AS lease_until", "CAST(NULL AS string) AS worker_id")
