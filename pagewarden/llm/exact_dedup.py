@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import lean, stored, width
+from .blocks import SLICE, lean, stored, width
 
 SALTS = 16
 _BLANKS = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
@@ -72,71 +72,89 @@ def _local(id_col: str, text_col: str, salts: int, members: bool):
 
 
 class _Group:
-    """Rows of one digest with one content."""
+    """Rows of one digest with one content; the best row is a place in the batch at hand, or a copied row of an earlier one."""
 
     def __init__(self, content: bytes, packed: bytes):
-        self.content, self.packed, self.n, self.rank, self.row, self.keys = content, packed, 0, None, None, []
+        self.content, self.packed, self.n, self.rank, self.place, self.row, self.keys = content, packed, 0, None, None, None, []
 
 
-def _merge(id_col: str, names: list[str], keyed: bool, last: bool):
-    """Over rows sorted by digest: one row for each content. keyed: rows carry the keys of the local groups they stand for."""
+def _merge(id_col: str, names: list[str], keyed: bool, text: str | None = None):
+    """Over rows sorted by digest: one row for each content. keyed: rows carry the keys of the local groups they stand for.
+    text: the column that gets the content back as it was.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        now, groups = None, []
-        out: list[_Group] = []
+    Only the groups of the last digest of a batch outlive it, each with a copy of its best row."""
 
-        def flush() -> pa.RecordBatch:
-            rows = pa.Table.from_batches([g.row for g in out]).combine_chunks()
+    def finished(batch: pa.RecordBatch, groups: list[_Group]) -> Iterator[pa.RecordBatch]:
+        here, earlier = [g for g in groups if g.row is None], [g for g in groups if g.row is not None]
+        parts = [(here, batch.take(pa.array([g.place for g in here], pa.int64())))] if here else []
+        for some, rows in parts + [([g], g.row) for g in earlier]:
             cols = {c: rows.column(c) for c in names if c in rows.schema.names}
-            cols[f"{P}n"] = pa.array([g.n for g in out], pa.int64())
+            cols[f"{P}n"] = pa.array([g.n for g in some], pa.int64())
             if keyed:
-                cols[f"{P}keys"] = pa.array([g.keys for g in out], pa.list_(pa.int64()))
-            out.clear()
-            t = pa.Table.from_pydict({c: cols[c] for c in names})
-            return t.combine_chunks().to_batches()[0]
+                cols[f"{P}keys"] = pa.array([g.keys for g in some], pa.list_(pa.int64()))
+            if not text:
+                yield pa.RecordBatch.from_pydict({c: cols[c] for c in names})
+                continue
+            unpack = zstandard.ZstdDecompressor()
+            packs, none = rows.column(f"{P}text"), rows.column(f"{P}null").to_pylist()
+            own, size, begin = [], 0, 0
+            for i in range(len(some)):
+                own.append(None if none[i] else unpack.decompress(packs[i].as_buffer()).decode())
+                size += len(own[-1] or "")
+                if size >= SLICE or i == len(some) - 1:
+                    cols[text] = pa.array(own, pa.string())
+                    yield pa.RecordBatch.from_pydict({c: cols[c] if c == text else cols[c].slice(begin, len(own)) for c in names})
+                    own, size, begin = [], 0, i + 1
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        now, groups, batch = None, [], None
         for batch in batches:
-            digests, packs = batch.column(f"{P}digest").to_pylist(), batch.column(f"{P}text").to_pylist()
-            ids, ns, keys = batch.column(id_col).to_pylist(), batch.column(f"{P}n").to_pylist(), batch.column(f"{P}key").to_pylist()
+            digests, packs = batch.column(f"{P}digest").to_pylist(), batch.column(f"{P}text")
+            ids, ns, keys = (batch.column(c).to_pylist() for c in (id_col, f"{P}n", f"{P}key"))
             many = batch.column(f"{P}keys").to_pylist() if keyed and f"{P}keys" in batch.schema.names else None
+            done: list[_Group] = []
             for i, d in enumerate(digests):
                 if d != now:
-                    out += groups
+                    for g in groups:
+                        g.content = g.packed = None
+                    done += groups
                     now, groups = d, []
-                g = next((g for g in groups if g.packed == packs[i]), None)
+                packed = packs[i].as_py()
+                g = next((g for g in groups if g.packed == packed), None)
                 if g is None:
-                    content = normalised(unpack.decompress(packs[i]))
+                    content = normalised(unpack.decompress(packed))
                     g = next((g for g in groups if g.content == content), None)
                     if g is None:
-                        g = _Group(content, packs[i])
+                        g = _Group(content, packed)
                         groups.append(g)
                 g.n += ns[i]
                 if keyed:
                     g.keys += many[i] if many else [keys[i]]
                 rank = (ids[i] is None, ids[i] or 0, keys[i])
                 if g.rank is None or rank < g.rank:
-                    g.rank, g.row = rank, batch.slice(i, 1)
-            if len(out) >= 2000:
-                yield flush()
-        out += groups
-        if out:
-            yield flush()
+                    g.rank, g.place, g.row = rank, i, None
+            yield from finished(batch, done)
+            for g in groups:
+                if g.row is None:
+                    g.row = batch.take(pa.array([g.place], pa.int64()))
+        if groups:
+            yield from finished(batch, groups)
 
     return lean(run)
 
 
-def _combine(local: DataFrame, id_col: str, keyed: bool) -> DataFrame:
-    """Salt winners, then winners, of the output of _local()."""
+def _combine(local: DataFrame, id_col: str, keyed: bool, own: T.StructType | None = None, text: str | None = None) -> DataFrame:
+    """Salt winners, then winners, of the output of _local(); own and text: the last step's schema, with the text as it was."""
     n = width(local.sparkSession)
     schema = T.StructType([f for f in local.schema if f.name != f"{P}keys"])
     if keyed:
         schema = schema.add(f"{P}keys", T.ArrayType(T.LongType()))
-    names = schema.names
     salted = local.repartition(n, f"{P}digest", f"{P}salt").sortWithinPartitions(f"{P}digest", f"{P}salt")
-    winners = salted.mapInArrow(_merge(id_col, names, keyed, False), schema)
+    winners = salted.mapInArrow(_merge(id_col, schema.names, keyed), schema)
     final = winners.repartition(n, f"{P}digest").sortWithinPartitions(f"{P}digest")
-    return final.mapInArrow(_merge(id_col, names, keyed, True), schema)
+    out = own or schema
+    return final.mapInArrow(_merge(id_col, out.names, keyed, text), out)
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
@@ -160,14 +178,5 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     docs = docs.toDF(*[f"c{i}" for i in range(len(names))])  # own names, which no column of ours has
     fields = [f for f in docs.schema if f.name != text_col]
     schema = T.StructType(fields + [T.StructField(f"{P}null", T.BooleanType()), T.StructField(f"{P}digest", T.BinaryType()), T.StructField(f"{P}salt", T.IntegerType()), T.StructField(f"{P}n", T.LongType()), T.StructField(f"{P}key", T.LongType()), T.StructField(f"{P}text", T.BinaryType())])
-    won = _combine(docs.mapInArrow(_local(id_col, text_col, salts, False), schema), id_col, False)
-    inner = docs.columns
-
-    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            none = batch.column(f"{P}null").to_pylist()
-            text = pa.array([None if no else unpack.decompress(t.as_buffer()).decode() for t, no in zip(batch.column(f"{P}text"), none)], pa.string())
-            yield pa.RecordBatch.from_pydict({c: text if c == text_col else batch.column(c) for c in inner})
-
-    return won.mapInArrow(unpacked, docs.schema).toDF(*names)
+    local = docs.mapInArrow(_local(id_col, text_col, salts, False), schema)
+    return _combine(local, id_col, False, docs.schema, text_col).toDF(*names)

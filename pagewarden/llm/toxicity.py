@@ -4,7 +4,8 @@ Folding lower-cases, replaces homoglyphs (Cyrillic, Greek, full-width letters) a
 letters they stand for, drops zero-width characters, and makes every other ASCII sign a space. The lexicon holds whole
 words and word stems with their weights (smoothed log odds), learned from at most ``LABELS`` labelled rows. A term counts
 only when it was seen in several contexts, so that words of one copied document do not enter. Exception phrases are pairs of
-words around a term that occur in clean labelled documents only; a term inside one does not count.
+words around a term that occur in clean labelled documents only; a term inside one does not count. All terms and phrases that
+pass these rules are kept; what is learned is bounded by the labelled rows alone.
 
 The sum of the weights of all hits of a whole text, against the text's length in words, gives the score through a logistic
 curve fitted on the same labelled rows. Null and empty texts have no hits and get the curve's lowest value. Repeated rows
@@ -17,21 +18,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .blocks import lean
 
 #: At most so many labelled rows are learned from (those with the smallest hash of their id).
 LABELS = 20_000
-#: At most so many terms are weighed, and so many exception phrases kept.
-TERMS, PHRASES = 50_000, 2_000
 STEMS = (4, 5, 6)
 
 # Letters that look like Latin ones, digits and signs that stand for letters.
@@ -131,18 +128,35 @@ def _count_phrases(lexicon: dict[str, float]):
 
 
 class Model:
-    """Lexicon, exception phrases and curve; plain data, so it travels to the executors with the function."""
+    """Lexicon, exception phrases and curve; plain data, so it travels to the executors with the function. The automaton is
+    built where it is first used, once for each copy of the model, and goes with it."""
 
     def __init__(self, lexicon: dict[str, float], phrases: tuple[str, ...], curve: tuple[float, float, float]):
         self.lexicon, self.phrases, self.curve = lexicon, phrases, curve
-        self.key = hash((tuple(sorted(lexicon.items())), phrases))
+        self._automaton: ahocorasick.Automaton | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_automaton": None}
+
+    @property
+    def automaton(self) -> ahocorasick.Automaton:
+        if self._automaton is None:
+            out = ahocorasick.Automaton()
+            for term, weight in self.lexicon.items():
+                out.add_word(term, (0, weight, len(term)))
+            for phrase in self.phrases:
+                if phrase not in self.lexicon:
+                    out.add_word(phrase, (1, 0.0, len(phrase)))
+            out.make_automaton()
+            self._automaton = out
+        return self._automaton
 
     def evidence(self, text: str | None) -> tuple[float, int]:
         """Sum of the weights of the hits, and the number of words."""
         folded = fold(text or "")
         words = len(folded.split())
         hits, spared = [], []
-        for end, (kind, value, n) in _automaton(self.key, self).iter(folded):
+        for end, (kind, value, n) in self.automaton.iter(folded):
             (hits if kind == 0 else spared).append((end - n + 1, end, value))
         total, last = 0.0, (-1, 0.0)
         for start, end, value in sorted(hits):
@@ -165,20 +179,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-@lru_cache(maxsize=4)
-def _automaton(key: int, model: Model) -> ahocorasick.Automaton:
-    out = ahocorasick.Automaton()
-    for term, weight in model.lexicon.items():
-        out.add_word(term, (0, weight, len(term)))
-    for phrase in model.phrases:
-        if phrase not in model.lexicon:
-            out.add_word(phrase, (1, 0.0, len(phrase)))
-    out.make_automaton()
-    return out
-
-
 def fit(docs: DataFrame, labels: DataFrame, most: int = LABELS, least_odds: float = 3.0) -> Model:
-    """Learns lexicon, exceptions and curve. What reaches the driver is bounded by LABELS, TERMS and PHRASES."""
+    """Learns lexicon, exceptions and curve. What reaches the driver is bounded by the labelled rows, ``most`` of them."""
     seed = {f" {w} ": 3.0 for w in SEED_WORDS}
     rows = sample(docs, labels, most).persist()
     try:
@@ -189,13 +191,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELS, least_odds: floa
         schema = "term string, pos long, around array<string>"
         pos = rows.where("toxic = 1").select("text").mapInArrow(_count_toxic, schema).groupBy("term").agg(F.sum("pos").alias("pos"), F.size(F.array_distinct(F.flatten(F.collect_list("around")))).alias("around"))
         least = max(3, round(0.002 * n_pos))
-        got = {r.term: r.pos for r in pos.where((F.col("pos") >= least) & (F.col("around") >= 4)).orderBy(F.desc("pos"), "term").limit(TERMS).collect()}
+        got = {r.term: r.pos for r in pos.where((F.col("pos") >= least) & (F.col("around") >= 4)).collect()}
         neg = {r.term: r.neg for r in rows.where("toxic = 0").select("text").mapInArrow(_count_clean(frozenset(got)), "term string, neg long").groupBy("term").agg(F.sum("neg").alias("neg")).collect()}
         odds = {t: math.log((p + 0.5) / (n_pos + 1)) - math.log((neg.get(t, 0) + 0.5) / (n_neg + 1)) for t, p in got.items()}
         lexicon = {t: round(x, 6) for t, x in odds.items() if x >= least_odds}
         lexicon = {t: x for t, x in lexicon.items() if not (t.endswith(" ") and any(t[: n + 1] in lexicon for n in STEMS))} or seed
         near = rows.mapInArrow(_count_phrases(lexicon), "phrase string, pos long, neg long").groupBy("phrase").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        phrases = tuple(sorted(r.phrase for r in near.where((F.col("neg") >= 3) & (F.col("pos") * 10 <= F.col("neg"))).orderBy(F.desc("neg"), "phrase").limit(PHRASES).collect()))
+        phrases = tuple(sorted(r.phrase for r in near.where((F.col("neg") >= 3) & (F.col("pos") * 10 <= F.col("neg"))).collect()))
         model = Model(lexicon, phrases, (2.0, 0.5, 0.0))
         seen = rows.select("text", "toxic").mapInArrow(_evidence(model), "evidence double, words long, toxic int").toPandas()
         return Model(lexicon, phrases, _curve(seen["evidence"].to_numpy(), seen["words"].to_numpy(), seen["toxic"].to_numpy()))
@@ -230,16 +232,16 @@ def _curve(evidence: np.ndarray, words: np.ndarray, toxic: np.ndarray) -> tuple[
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs with tox_score (0 to 1), tox_evidence and tox_words; no row moves."""
+    """docs with tox_score (0 to 1), tox_evidence and tox_words; no row moves, and only texts go to Python."""
     own = ["tox_score", "tox_evidence", "tox_words"]
-    names = [c for c in docs.columns if c.lower() not in own]
-    kept = docs.select(*[F.col(f"`{c}`") for c in names])
-    schema = T.StructType([*kept.schema, T.StructField("tox_score", T.DoubleType()), T.StructField("tox_evidence", T.DoubleType()), T.StructField("tox_words", T.LongType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [model.evidence(t.as_py()) for t in batch.column(text_col)]
+            found = [model.evidence(t.as_py()) for t in batch]
             e, w = np.array([x for x, _ in found], np.float64), np.array([n for _, n in found], np.int64)
-            yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in names} | {"tox_score": pa.array(model.score(e, w)), "tox_evidence": pa.array(e), "tox_words": pa.array(w)})
+            yield pa.StructArray.from_arrays([pa.array(model.score(e, w)), pa.array(e), pa.array(w)], own)
 
-    return kept.mapInArrow(run, schema)
+    scored = F.arrow_udf(lean(run), "tox_score double, tox_evidence double, tox_words long", F.ArrowUDFType.SCALAR_ITER)
+    names = [c for c in docs.columns if c.lower() not in own]
+    out = docs.select(*[F.col(f"`{c}`") for c in names], scored(F.col(text_col).cast("string")).alias("_tox"))
+    return out.select(*[F.col(f"`{c}`") for c in names], *[F.col(f"_tox.{c}") for c in own])
