@@ -1,15 +1,15 @@
-"""Subword ids of whole texts, with the encodings of repeated space-delimited chunks kept."""
+"""Subword ids of whole texts, through tiktoken, or through tokenizers with the encodings of space-delimited chunks kept."""
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-from .blocks import AT_END
-
 #: Chunks whose ids one process keeps at most in each of two generations.
 KEPT = 300_000
 #: Characters of a text that are cut into chunks at once.
@@ -23,6 +23,7 @@ def default_path(name: str = "byte_bpe_50k.json") -> str:
 
 
 def _tokenizers(path: str):
+    """The library's encoder, and its model, which takes pieces as they are."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -31,10 +32,16 @@ def _tokenizers(path: str):
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids, tokenizer.model
 
 
-#: A word of Latin letters and one mark at most.
-_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]?)\Z")
+#: Pieces that the splitting of a text cannot change, whatever is around them: runs of Latin letters, of digits, and of ASCII
+#: marks (without the apostrophe), and single line feeds between them.
+_RUNS = r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]++|[0-9]++|[!-&(-/:-@\[-`{-~]++"
+_PLAIN = re.compile(rf"(?:{_RUNS})(?:\n?(?:{_RUNS}))*+\Z")
+_PIECE = re.compile(rf"{_RUNS}|\n")
 #: How a byte-level vocabulary shows the bytes that are no visible character of their own: as the characters from 256 on.
 _SHOWN = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+_SPACE = chr(_SHOWN[32])
+#: The same as a decoding table; spaces stay, as they part the chunks.
+_TABLE = "".join(" " if b == 32 else chr(_SHOWN.get(b, b)) for b in range(256))
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -51,8 +58,8 @@ def _tiktoken(path: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=_ranks(path), special_tokens={}).encode_ordinary
 
 
-def _begins_with_space(path: str) -> np.ndarray:
-    """For each id whether it begins with a space; room for one id more, which ends a text."""
+def begins_with_space(path: str) -> np.ndarray:
+    """For each id whether it begins with a space; room for one id more, which ends a text. A new array at each call."""
     if path.endswith(".tiktoken"):
         ranks = _ranks(path)
         out = np.zeros(max(ranks.values()) + 2, bool)
@@ -87,40 +94,53 @@ class _Kept:
 
 
 class Subwords:
-    """Encodes with the library of the vocabulary's file: tokenizers (.json) or tiktoken (.tiktoken). A byte-level BPE never merges over a space between two other characters, so
+    """Encodes with the tokenizers library. A byte-level BPE never merges over a space between two other characters, so
     chunks from one such space to the next are encoded apart and their ids kept. Chunks to be learned are encoded as one
     text and told apart by the space that only their first id holds."""
 
     def __init__(self, path: str, kept: int = KEPT):
-        self.ids, self.model = (_tiktoken(path), None) if path.endswith(".tiktoken") else _tokenizers(path)
-        self.spaced = _begins_with_space(path)
-        self.first, self.later, self.words = _Kept(kept // 4), _Kept(kept), _Kept(kept)
+        self.ids, self.model = _tokenizers(path)
+        self.short: dict[str, list[int]] = {}  # ids of pieces of one ASCII character
+        self.spaced = begins_with_space(path)
+        self.first, self.later = _Kept(kept // 4), _Kept(kept)
         self.kind = np.uint16 if len(self.spaced) <= 1 << 16 else np.uint32
 
     def _one(self, text: str) -> bytes:
         return np.array(self.ids(text), self.kind).tobytes()
 
     def _spaced(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each chunk with a space before it. Latin words, with one mark behind them at most, are pieces that
-        the splitting of a text cannot change, so the library's model takes them as they are."""
-        if self.model is None:
-            return self._joined(chunks)
-        out, rest = [b""] * len(chunks), []
-        tokenize = self.model.tokenize
-        for i, c in enumerate(chunks):
-            m = _PLAIN.match(c)
-            if m is None:
-                rest.append(i)
-                continue
-            word, mark = m.groups()
-            word = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
-            ids = [t.id for t in tokenize("Ġ" + word)]
-            if mark:
-                ids += [t.id for t in tokenize(mark)]
-            out[i] = np.array(ids, self.kind).tobytes()
-        for i, ids in zip(rest, self._joined([chunks[i] for i in rest])):
-            out[i] = ids
-        return out
+        """The ids of each chunk with a space before it. Chunks of plain pieces go to the library's model piece by piece."""
+        plain, rest = [], []
+        match = _PLAIN.match
+        for c in chunks:
+            (plain if match(c) else rest).append(c)
+        got = dict(zip(rest, self._joined(rest)))
+        for at in range(0, len(plain), 20_000):
+            some = plain[at : at + 20_000]
+            got.update(zip(some, self._plain(some)))
+        return [got[c] for c in chunks]
+
+    def _plain(self, chunks: list[str]) -> list[bytes]:
+        tokenize, find, short, space = self.model.tokenize, _PIECE.findall, self.short, _SPACE
+        flat: list[int] = []
+        edge = [0]
+        for c, shown in zip(chunks, _shown(" ".join(chunks)).split(" ")):
+            if c.isalpha():
+                flat += [t.id for t in tokenize(space + shown)]
+            else:
+                before = space
+                for piece in find(c):
+                    if len(piece) == 1 and piece.isascii():
+                        piece = before + piece
+                        if piece not in short:
+                            short[piece] = [t.id for t in tokenize(before + _shown(piece[-1]))]
+                        flat += short[piece]
+                    else:
+                        flat += [t.id for t in tokenize(before + (piece if piece.isascii() else _shown(piece)))]
+                    before = ""
+            edge.append(len(flat))
+        raw, wide = np.array(flat, self.kind).tobytes(), self.kind().itemsize
+        return [raw[a * wide : b * wide] for a, b in zip(edge, edge[1:])]
 
     def _joined(self, chunks: list[str]) -> list[bytes]:
         out = []
@@ -143,10 +163,6 @@ class Subwords:
         kept.now.update(zip(plain, self._spaced(plain)))
         kept.now.update((c, self._one(" " + c)) for c in odd)
 
-    def forget(self) -> None:
-        for kept in (self.first, self.later, self.words):
-            kept.now, kept.old = {}, {}
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian integers of ``kind``."""
         pieces, owner = [], []
@@ -160,23 +176,8 @@ class Subwords:
                 out[i].append(ids)
         return [b"".join(x) if len(x) != 1 else x[0] for x in out]
 
-    def encode_words(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each UTF-8 text's words (between ASCII white space), every one with a space before it."""
-        out = []
-        for at in range(0, len(texts), 500):
-            split = [t.split() for t in texts[at : at + 500]]
-            new = self.words.missing(set().union(*split))
-            text = [w.decode("utf-8", "replace") for w in new]
-            odd = {w for w, t in zip(new, text) if t[0].isspace() or t[-1].isspace()}
-            plain = [(w, t) for w, t in zip(new, text) if w not in odd]
-            self.words.now.update(zip((w for w, _ in plain), self._spaced([t for _, t in plain])))
-            self.words.now.update((w, self._one(" " + w.decode("utf-8", "replace"))) for w in odd)
-            get = self.words.now.__getitem__
-            out += [b"".join(map(get, s)) for s in split]
-        return out
-
     def _encode(self, pieces: list[tuple[bool, str]]) -> list[bytes]:
-        split = [_CUT.split(p) if _UNSAFE.search(p) else p.split(" ") for _, p in pieces]
+        split = [_CUT.split(p) if _unsafe(p) else p.split(" ") for _, p in pieces]
         begun = {s[0] for s, (begins, _) in zip(split, pieces) if begins}
         fresh = self.first.missing(begun)
         self.first.now.update((c, self._one(c)) for c in fresh)
@@ -185,8 +186,14 @@ class Subwords:
         return [(self.first.now[s[0]] if begins else get(s[0])) + b"".join(map(get, s[1:])) for s, (begins, _) in zip(split, pieces)]
 
 
-#: A space beside white space or at an end, and a space between two other characters.
-_UNSAFE, _CUT = re.compile(r"\s | \s|^ | $"), re.compile(r"(?<=\S) (?=\S)")
+#: A space between two other characters.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
+BLANKS = tuple(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def _unsafe(text: str) -> bool:
+    """Whether a space is beside white space or at an end."""
+    return text[:1] == " " or text[-1:] == " " or any(c + " " in text or " " + c in text for c in BLANKS if c in text)
 
 
 def _pieces(text: str) -> list[tuple[bool, str]]:
@@ -198,14 +205,26 @@ def _pieces(text: str) -> list[tuple[bool, str]]:
     return [*out, (at == 0, text[at:])]
 
 
-@lru_cache(maxsize=2)
-def _loaded(path: str) -> Subwords:
-    return Subwords(path)
+def _shown(text: str) -> str:
+    return codecs.charmap_decode(text.encode(), "strict", _TABLE)[0]
 
 
+@lru_cache(maxsize=1)
 def subwords(path: str) -> Subwords:
-    """The process's encoder; what it keeps goes when the task ends."""
-    out = _loaded(path)
-    if out.forget not in AT_END:
-        AT_END.append(out.forget)
-    return out
+    """The process's encoder of a .json vocabulary; what it has learned, bounded by KEPT, serves its later tasks too."""
+    return Subwords(path)
+
+
+@lru_cache(maxsize=1)
+def plain_ids(path: str) -> Callable[[str], list[int]]:
+    """The encoder of a .tiktoken vocabulary, which needs no table of its own to be fast."""
+    return _tiktoken(path)
+
+
+def counter(path: str) -> Callable[[str], int]:
+    """How many ids a text has."""
+    if path.endswith(".tiktoken"):
+        ids = plain_ids(path)
+        return lambda text: sum(len(ids(piece)) for _, piece in _pieces(text))
+    encoder = subwords(path)
+    return lambda text: len(encoder.encode([text])[0]) // encoder.kind().itemsize
