@@ -1,10 +1,12 @@
 """Packing into length buckets that waste the least padding.
 
-Every document's length in tokens (its subword ids and one end token) goes into one global histogram of at most about two
-thousand bins: exact up to 1,024, then in steps of half a per cent, each ending at its longest document. Dynamic programming over the bins finds the boundaries
-that minimise the padding of all documents when each is padded to the boundary of its bucket. Inside a bucket, documents in
-order of (length, doc_id) fill batches of ``budget // boundary`` rows (one at least), so a batch never holds more padded
-tokens than the budget unless a single document does.
+Every document's length in tokens (its subword ids and one end token) goes into one global histogram, a row for each
+distinct length: their sum is at most the corpus's tokens, so there are at most sqrt(2 * tokens) of them, and in practice as
+many as the longest text has tokens. Dynamic programming over them finds the boundaries that minimise the padding of all
+documents when each is padded to the boundary of its bucket; the best last bucket begins no earlier for a longer end, so each
+step halves its range (n log n for a bucket). Inside a bucket, documents in order of (length, doc_id) fill batches of
+``budget // boundary`` rows (one at least), so a batch never holds more padded tokens than the budget unless a single
+document does.
 
 Places inside a bucket come from a range partitioning and one count for each partition and bucket, so no bucket, however
 large, is ordered by one task. Null texts have the end token only. Every row gets a place of its own, repeated rows and
@@ -21,20 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import lean, stored, width
-from .subwords import default_path, subwords
+from .subwords import counter, default_path
 
 BUCKETS, BUDGET = 16, 65_536
-_EXACT, _RATIO = 1024, 1.005
 
 
 def _lengths(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = subwords(tokenizer)
-        wide = encoder.kind().itemsize
+        count = counter(tokenizer)
         for batch in batches:
-            text, n = batch.column("text"), []
-            for at in range(0, len(text), 256):
-                n += [len(x) // wide + 1 for x in encoder.encode([t or "" for t in text.slice(at, 256).to_pylist()])]
+            n = [count(t.as_py() or "") + 1 for t in batch.column("text")]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_tokens": pa.array(n, pa.int64())})
 
     return lean(run)
@@ -46,43 +44,58 @@ def lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return docs.mapInArrow(_lengths(tokenizer or default_path("byte_bpe_50k.tiktoken")), "doc_id long, n_tokens long")
 
 
+def _best_ends(before: np.ndarray, ends: np.ndarray, docs: np.ndarray, tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each j from ``least + 1`` on, the i in least..j-1 of least before[i] + cost(i, j), and that sum."""
+    m = len(ends)
+    best, frm = np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    # pieces of ends whose middle is solved next, with the range that the answer lies in
+    low, high = np.array([least + 1]), np.array([m])
+    first, last = np.array([least]), np.array([m - 1])
+    while len(low):
+        mid = (low + high) // 2
+        top = np.minimum(last, mid - 1)
+        size = top - first + 1
+        begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+        i = np.arange(size.sum()) - np.repeat(begin - first, size)
+        j = np.repeat(mid, size)
+        sums = before[i] + ends[j - 1] * (docs[j] - docs[i]) - (tokens[j] - tokens[i])
+        least_sum = np.minimum.reduceat(sums, begin)
+        hit = np.flatnonzero(sums == np.repeat(least_sum, size))
+        found = i[hit[np.searchsorted(hit, begin)]]
+        best[mid], frm[mid] = least_sum, found
+        parts = [(low, mid - 1, first, found), (mid + 1, high, found, last)]
+        low, high, first, last = (np.concatenate(x) for x in zip(*[tuple(c[a <= b] for c in (a, b, f, t)) for a, b, f, t in parts]))
+    return best, frm
+
+
 def boundaries(ends: np.ndarray, count: np.ndarray, total: np.ndarray, buckets: int) -> np.ndarray:
     """The bucket boundaries (a subset of ends, the last one included) of least padding.
 
-    cost(i, j) of a bucket over bins i..j is ends[j] * documents - tokens; best[b][j] = min over i of best[b-1][i] + cost."""
+    cost(i, j) of a bucket over lengths i..j-1 is ends[j-1] * documents - tokens; a step's best[j] is the least
+    best-before[i] + cost(i, j). One more bucket never adds padding, so as many as there are lengths, or buckets, are used."""
     keep = count > 0
-    ends, count, total = ends[keep], count[keep].astype(np.float64), total[keep].astype(np.float64)
+    ends, count, total = (x[keep].astype(np.int64) for x in (ends, count, total))
     m = len(ends)
     if not m:
         return np.zeros(0, np.int64)
-    docs, tokens = np.concatenate(([0.0], np.cumsum(count))), np.concatenate(([0.0], np.cumsum(total)))
-    best = np.full(m + 1, np.inf)
-    best[0] = 0
-    back = []
-    for _ in range(min(buckets, m)):
-        new, frm = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
-        for j in range(1, m + 1):
-            cost = best[:j] + ends[j - 1] * (docs[j] - docs[:j]) - (tokens[j] - tokens[:j])
-            frm[j] = i = int(np.argmin(cost))
-            new[j] = cost[i]
+    docs, tokens = np.concatenate(([0], np.cumsum(count))), np.concatenate(([0], np.cumsum(total)))
+    best = np.concatenate(([0], ends)) * docs - tokens  # one bucket
+    back = [np.zeros(m + 1, np.int64)]
+    for b in range(1, min(buckets, m)):
+        best, frm = _best_ends(best, ends, docs, tokens, b)
         back.append(frm)
-        best = new
     out, j = [], m
     for frm in reversed(back):
         out.append(int(ends[j - 1]))
         j = int(frm[j])
-        if j == 0:
-            break
     return np.array(out[::-1], np.int64)
 
 
 def histogram(sized: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Longest document, documents and tokens of the bins over all documents."""
-    log = F.log(F.col("n_tokens") / F.lit(float(_EXACT))) / F.lit(float(np.log(_RATIO)))
-    rough = F.when(F.col("n_tokens") <= _EXACT, F.col("n_tokens")).otherwise(_EXACT + F.ceil(log))
-    rows = sized.groupBy(rough.alias("bin")).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t"), F.max("n_tokens").alias("top")).orderBy("top").collect()
-    ends, count, total = (np.array([r[c] for r in rows], np.int64) for c in ("top", "n", "t"))
-    return ends, count, total
+    """Lengths, ascending, with the documents and tokens of each, over all documents."""
+    rows = sized.groupBy("n_tokens").agg(F.count("*").alias("n")).orderBy("n_tokens").toPandas()
+    ends, count = (rows[c].to_numpy(np.int64) for c in ("n_tokens", "n"))
+    return ends, count, ends * count
 
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, tokenizer: str | None = None) -> DataFrame:
