@@ -9,7 +9,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,11 +28,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("pagewarden.shared.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="pagewarden-shared-")
-        spark.conf.set("pagewarden.shared.dir", path)
+    """The folder that driver and executors share: spark.checkpoint.dir, or a part of the warehouse where that is unset (tests)."""
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return path.rstrip("/")
 
 
@@ -42,7 +38,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagewarden/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what stored() wrote for df, which nothing may read any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def width(spark: SparkSession) -> int:
