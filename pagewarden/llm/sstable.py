@@ -219,8 +219,12 @@ class Reader:
 
 
 def _opened(path: str):
-    fs, at = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
-    return fs, at
+    """pyarrow's file system for a path as Spark writes it: a plain path, file:/x, s3a:// (s3:// there) or another scheme."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        local = (rest if colon else path)
+        return pafs.LocalFileSystem(), local[2:] if local.startswith("//") else local
+    return pafs.FileSystem.from_uri(f"s3:{rest}" if scheme in ("s3a", "s3n") else path)
 
 
 _MANIFEST = "path string, first long, last long, docs long, ids long, bytes long"
