@@ -3,6 +3,7 @@ import math
 import os
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pagewarden.llm import chat, lm, packing, rollups, sstable, suffix_dedup, toxicity
-from pagewarden.llm.subwords import Subwords, default_path
+from pagewarden.llm.subwords import Subwords, counter, default_path
 
 from .cases import clashing, documents, frame, prose
 
@@ -43,11 +44,30 @@ def test_toxicity_phrases_and_no_labels(spark):
     assert " idiot " in toxicity.fit(frame(spark), none).lexicon
 
 
+def padding(ends, n, bounds):
+    return sum(c * (min(b for b in bounds if b >= e) - e) for e, c in zip(ends, n))
+
+
 def test_boundaries_are_optimal():
-    ends, n, t = np.array([1, 3, 4, 7, 9]), np.array([2, 5, 1, 4, 2]), np.array([2, 15, 4, 28, 18])
-    cost = lambda bs: sum(c * min(b for b in bs if b >= e) - x for e, c, x in zip(ends, n, t))
-    for k in (1, 2, 3, 4):
-        assert cost(packing.boundaries(ends, n, t, k)) == min(cost([*x, 9]) for x in itertools.combinations([1, 3, 4, 7], k - 1))
+    rng = np.random.Generator(np.random.PCG64(5))
+    for _ in range(40):
+        ends = np.sort(rng.choice(np.arange(1, 60), rng.integers(1, 9), replace=False))
+        n = rng.integers(1, 30, len(ends))
+        for k in (1, 2, 3, 4, 20):
+            got = packing.boundaries(ends, n, ends * n, k).tolist()
+            every = [(*x, ends[-1]) for x in itertools.combinations(ends[:-1], min(k, len(ends)) - 1)]
+            assert padding(ends, n, got) == min(padding(ends, n, b) for b in every) and len(got) <= k
+
+
+def test_boundaries_of_long_texts_are_optimal():
+    rng = np.random.Generator(np.random.PCG64(6))
+    ends = np.sort(rng.choice(np.arange(1100, 30000), 300, replace=False))
+    n = rng.integers(1, 9, 300)
+    cost = [[int((n[i:j] * (ends[j - 1] - ends[i:j])).sum()) if i < j else 0 for j in range(301)] for i in range(301)]
+    best = [0] + [math.inf] * 300  # plain dynamic programming
+    for _ in range(16):
+        best = [0] + [min(best[i] + cost[i][j] for i in range(j)) for j in range(1, 301)]
+    assert padding(ends, n, packing.boundaries(ends, n, ends * n, 16).tolist()) == best[300]
 
 
 def test_long_lengths_are_boundaries(spark):
@@ -66,16 +86,34 @@ def test_packing(spark):
     assert ((g.n * g.b <= 2000) | (g.n == 1)).all() and packing.pack(frame(spark, [])).isEmpty()
 
 
-def whole(text):
+@lru_cache
+def tokenizer():
     t = Tokenizer.from_file(default_path())
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def whole(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids
+
 
+ODD = ["", " ", "a", "a  b", " a b ", "don't 's 12,5\n\n x y \u3000z", "<|endoftext|> a", "a\tb c", "tail ", "\u00e9 \u00e8  \u00e0", "x" * 50]
+ODD += ["x end.\nNext line, so \u00e9t\u00e9.\n\u00catre 3.5\n4 a--b (c) \u00a0d \n e\n f g\r\nh ,.;\n. i'll j_k2l \u0107\u00d7\u01c0"]
 
-@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "byte_bpe_50k.tiktoken"])
-@pytest.mark.parametrize("text", ["", " ", "a", "a  b", " a b ", "don't 's 12,5\n\n x y 　z", "<|endoftext|> a", "a\tb c", "tail ", "é è  à", "x" * 50])
-def test_chunks_encode_as_the_whole(text, name):
-    assert np.frombuffer(Subwords(default_path(name), kept=3).encode(["x y", text, "z"])[1], np.uint16).tolist() == whole(text)
+
+@pytest.mark.parametrize("text", ODD)
+def test_chunks_encode_as_the_whole(text):
+    assert np.frombuffer(Subwords(default_path(), kept=3).encode(["x y", text, "z"])[1], np.uint16).tolist() == whole(text)
+    assert counter(default_path())(text) == counter(default_path("byte_bpe_50k.tiktoken"))(text) == len(whole(text))
+
+
+def test_random_texts_encode_as_the_whole():
+    rng = np.random.Generator(np.random.PCG64(8))
+    signs = list("abcdeXYZ\u00e9\u00df\u0416 0123456789 .,;:!?'()|-_\n\n \t\u00a0\u3000\u2019  ") + [" the", " on", "ing "]
+    encoder = Subwords(default_path(), kept=50)
+    for _ in range(300):
+        text = "".join(rng.choice(signs, rng.integers(1, 60)))
+        assert np.frombuffer(encoder.encode([text])[0], np.uint16).tolist() == whole(text), repr(text)
 
 
 def test_shards(spark):
@@ -127,38 +165,143 @@ def test_rollups(spark):
     with pytest.raises(Exception, match="unknown change"):
         roll.commit("d", rollups.inserts(counted).withColumn("change", F.lit("other")))
     assert rollups.Rollup(spark).totals().isEmpty()
+    before = total()
+    roll.vacuum()
+    assert total() == before and not roll.commit("a", rollups.inserts(counted))
+
+
+def test_rollups_that_stop_or_race(spark, monkeypatch):
+    counted = rollups.counts(frame(spark)).cache()
+    roll = rollups.Rollup(spark)
+    roll.commit("a", rollups.inserts(counted))
+    total = lambda: sorted(map(tuple, roll.totals().collect()))
+    before = total()
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    for step in (roll.compact, lambda: roll.commit("b", rollups.inserts(counted))):  # stops before its manifest is there
+        with monkeypatch.context() as m:
+            m.setattr(roll, "_publish", stop)
+            with pytest.raises(KeyboardInterrupt):
+                step()
+        assert total() == before and not roll.committed("b")
+    number, now = roll.state()
+    assert not roll._publish(number, now) and roll.state() == (number, now)  # the number is taken
+    state, other = roll.state, rollups.Rollup(spark, roll.folder)
+    stale = [(number, now)]
+
+    def late():  # another commit comes between reading the state and publishing
+        if stale:
+            other.commit("c", rollups.deletes(counted.where("tokenizer = 'words-1'")))
+            return stale.pop()
+        return state()
+
+    monkeypatch.setattr(roll, "committed", lambda _: False)
+    monkeypatch.setattr(roll, "state", late)
+    assert roll.commit("b", rollups.inserts(counted)) and set(state()[1]["batches"]) == {"a", "b", "c"}
+
+
+def test_places_as_spark_names_them(tmp_path):
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        fs, at = sstable._opened(path)
+        assert at == str(tmp_path) and fs.type_name == "local"
+
+
+def small_model(classes=12, own=6, dim=4, ids=300, seed=1):
+    rng = np.random.Generator(np.random.PCG64(seed))
+    model = lm.Model(np.arange(ids), np.arange(ids) % 2 == 0, classes=classes, own=own, dim=dim, finer=3)
+    model.set_bigram(rng.integers(0, 50, (model.fines, model.fines)).astype(float))
+    model.weights = {k: (v + 0.3 * rng.standard_normal(v.shape)).astype(np.float64) for k, v in model.weights.items()}
+    return model, rng
+
+
+def plain_logits(model, x):
+    """Of the classes x so far: the unnormalised logs of the next class, position by position."""
+    w, out = model.weights, []
+    for i in range(len(x)):
+        before = range(max(0, i - (i % lm.STRIDE) - (lm.LENGTH - lm.STRIDE)), i + 1)
+        q = w["e"][x[i]] @ w["q"]
+        pull = np.array([q @ (w["e"][x[j]] @ w["k"]) / math.sqrt(len(q)) + w["near"][i - j] for j in before])
+        pull = np.exp(pull - pull.max())
+        mixed = sum(p * (w["e"][x[j]] @ w["v"]) for p, j in zip(pull / pull.sum(), before))
+        h = np.tanh((mixed @ w["o"] + w["e"][x[i]]) @ w["w"] + w["b"])
+        out.append(h @ w["u"] + np.log(model.bigram[x[i]]))
+    return np.array(out)
 
 
 def test_gradient():
-    rng = np.random.Generator(np.random.PCG64(1))
-    model = lm.Model(np.arange(300), np.arange(300) % 2 == 0, classes=12, own=6, dim=4)
-    w = {k: v.astype(np.float64) + 0.1 * rng.standard_normal(v.shape) for k, v in model.weights.items()}
-    x, y = rng.integers(0, 12, (3, lm.LENGTH)), rng.integers(0, 12, (3, lm.LENGTH))
-    on = (rng.random((3, lm.LENGTH)) < 0.8).astype(float)
+    model, rng = small_model()
+    w = model.weights
+    x, y = rng.integers(0, 12, (3, lm.LENGTH)), rng.integers(0, 12, (3, lm.STRIDE))
+    x[0, : lm.LENGTH - lm.STRIDE] = 12  # before a text
+    on = (rng.random((3, lm.STRIDE)) < 0.8).astype(float)
 
     def loss():
-        h, _ = lm.attention(w, x)
-        z = h @ w["u"] + model.bigram[x]
+        h, _ = lm.Tables(w).hidden(x)
+        z = h @ w["u"] + np.log(model.bigram[x[:, lm.LENGTH - lm.STRIDE :]]).reshape(len(h), -1)
         z -= np.log(np.exp(z).sum(-1, keepdims=True))
-        return -(np.take_along_axis(z, y[..., None], 2)[..., 0] * on).sum() / on.sum()
+        return -(z[np.arange(len(z)), y.ravel()] * on.ravel()).sum() / on.sum()
 
     g = lm.gradient(w, model.bigram, x, y, on)
     for name, v in w.items():
-        i = tuple(rng.integers(0, s) for s in v.shape)
-        keep, step = v[i], 1e-5
-        v[i] = keep + step
-        up = loss()
-        v[i] = keep - step
-        down = loss()
-        v[i] = keep
-        assert (up - down) / (2 * step) == pytest.approx(g[name][i], abs=2e-4), name
+        for _ in range(3):
+            i = tuple(rng.integers(0, s) for s in v.shape)
+            keep, step = v[i], 1e-5
+            v[i] = keep + step
+            up = loss()
+            v[i] = keep - step
+            down = loss()
+            v[i] = keep
+            assert (up - down) / (2 * step) == pytest.approx(g[name][i], abs=2e-4), name
 
 
 def test_windows_score_every_id_once():
-    for n in (1, lm.LENGTH, lm.LENGTH + 1, 500):
-        text, start, scored = lm.windows(np.array([n]))
-        places = [p for s, f in zip(start, scored) for p in range(f, min(s + lm.LENGTH, n))]
-        assert places == list(range(n))
+    for n in (1, lm.STRIDE, lm.STRIDE + 1, 500):
+        text, start = lm.windows(np.array([n]))
+        assert [p for s in start for p in range(s, min(s + lm.STRIDE, n))] == list(range(n))
+
+
+def test_token_logs_against_plain_loops():
+    model, rng = small_model()
+    ids = [rng.integers(0, 300, n).astype(np.uint16) for n in (1, 30, 100)]
+    end, lm.END = lm.END, 299
+    try:
+        y, owner, log, side = lm.token_logs(model, ids, lm.Tables(model.weights))
+    finally:
+        lm.END = end
+    for k, x in enumerate(ids):
+        before = np.concatenate(([299], x[:-1])).astype(int)
+        z = plain_logits(model, model.of[before])
+        z -= np.log(np.exp(z).sum(1, keepdims=True))
+        shares = [model.inner[model.fine[a], model.fine[b]] + model.share[b] for a, b in zip(before, x)]
+        assert log[owner == k] == pytest.approx(z[np.arange(len(x)), model.of[x]] + shares, abs=1e-4)
+        assert side[owner == k] == pytest.approx(np.log(np.exp(z) @ model.sides[:, 1]), abs=1e-4)
+
+
+def test_shares_sum_to_one():
+    model, _ = small_model()
+    for x in (0, 7, 299):
+        total = np.exp(model.shares(np.full(300, x), np.arange(300)))
+        assert np.bincount(model.of, weights=total) == pytest.approx(np.ones(12), abs=1e-5)
+
+
+def test_long_words_are_completed_between_logarithms():
+    known = lm.Known(np.concatenate(([100, 10, 4, 2], np.full(5, 3))), np.full(5, 20), 5)
+    got = known.completion(np.array([0, 0, 9]), np.array([1, 1, 1]), np.array([-50_000.0, -2.0, -50_000.0]))
+    assert got == pytest.approx([math.log10(0.5 * 3 / 20) - 50_000, math.log10(0.5 * 3 / 20 * 0.01), math.log10(8.5 / 20)])
+
+
+def test_words_of_texts():
+    from pagewarden.llm.subwords import begins_with_space, plain_ids
+
+    path = default_path("byte_bpe_50k.tiktoken")
+    ids, starts = plain_ids(path), begins_with_space(path)
+    for text in ("", " ", "Don't  stop\n12,5 x", "a\u3000 b \u3000c", "\u00e9t\u00e9 \x1c y\x85z", "\ufffd " * 3, "x" * 300_000):
+        got, n = lm.word_ids(text.encode(), ids, starts)
+        words = text.encode().lower().split()
+        want = [i for w in words for i in ids(" " + w.decode())]
+        assert n == len(words) == np.count_nonzero(starts[got]) and got.tolist() == want
 
 
 def test_training_takes_every_window_once(monkeypatch):
@@ -166,18 +309,18 @@ def test_training_takes_every_window_once(monkeypatch):
     ids = [r.integers(0, 300, n).astype(np.uint16) for n in (1, 40, 700, 5000)]
     batch = pa.RecordBatch.from_pydict({"payload": pa.array([zstandard.compress(x.tobytes()) for x in ids], pa.binary())})
     model = lm.Model(np.arange(lm.END + 1), np.arange(lm.END + 1) % 2 == 0)
-    model.of = np.arange(lm.END + 1) % 251  # so that windows can be told apart
+    model.of = (np.arange(lm.END + 1) % 251).astype(np.uint8)  # so that windows can be told apart
     seen = Counter()
 
     def gradient(w, bigram, x, y, on):
-        seen.update(zip(map(bytes, y.astype(np.uint8)), on.sum(1).tolist()))
+        seen.update(bytes(row[: int(o.sum())].astype(np.uint8)) for row, o in zip(y, on))
         return {c: np.zeros_like(v) for c, v in w.items()}
 
     monkeypatch.setattr(lm, "gradient", gradient)
     n = sum(out.column("n")[0].as_py() for turn in range(lm.ROUNDS) for out in lm._train(model, turn)(iter([batch])))
-    _, y, begin, lengths, text, start, _ = lm._placed(lm._ids(batch))
-    every = Counter((bytes(model.of[y[np.minimum(begin[t] + s + np.arange(lm.LENGTH), len(y) - 1)]].astype(np.uint8)), float(min(lm.LENGTH, lengths[t] - s))) for t, s in zip(text, start))
-    assert n == len(text) and seen == every
+    targets = [model.of[np.append(x, lm.END)] for x in ids]
+    every = Counter(bytes(t[k : k + lm.STRIDE].astype(np.uint8)) for t in targets for k in range(0, len(t), lm.STRIDE))
+    assert n == sum(every.values()) and seen == every
 
 
 def test_lm_scores(spark):
