@@ -1,7 +1,8 @@
 """Tables as versioned Parquet snapshots, and merges into them.
 
 Parquet tables know no MERGE. A merge is a join that makes the next snapshot; the snapshot is written to a folder of its own
-and a small pointer file is replaced last, so readers see the old or the new table and never a part.
+and then named by an empty pointer file whose name has the next number and the snapshot. The highest number counts, and no pointer is
+ever replaced, so readers see the old or the new table, never a part and never nothing, wherever a writer stops.
 """
 
 from __future__ import annotations
@@ -64,24 +65,29 @@ class Store:
         self._path = lambda name: path(f"{folder}/{name}")
         self.fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _pointer(self, table: str) -> str | None:
-        p = self._path(f"{table}/CURRENT")
-        if not self.fs.exists(p):
-            return None
-        return self.spark.read.text(f"{self.folder}/{table}/CURRENT").first()[0]
+    def _pointers(self, table: str) -> list[str]:
+        folder = self._path(table)
+        if not self.fs.exists(folder):
+            return []
+        names = sorted(f.getPath().getName() for f in self.fs.listStatus(folder))
+        return [n for n in names if n.startswith("current-")]
+
+    def _version(self, table: str) -> str | None:
+        found = self._pointers(table)
+        return found[-1].split("-", 2)[2] if found else None
 
     def read(self, table: str) -> DataFrame:
-        version = self._pointer(table)
+        version = self._version(table)
         kind = schema.TABLES[table]
         return self.spark.read.schema(kind).parquet(f"{self.folder}/{table}/{version}") if version else self.spark.createDataFrame([], kind)
 
     def write(self, table: str, df: DataFrame) -> None:
+        """The next snapshot. The pointer's name holds its number and its version, so it is whole as soon as it exists; of
+        two writers that read the same snapshot the later one is refused."""
+        found = self._pointers(table)
+        number = int(found[-1].split("-")[1]) + 1 if found else 1
         version = f"v-{uuid.uuid4().hex}"
         df.select(*[F.col(f.name).cast(f.dataType) for f in schema.TABLES[table]]).write.parquet(f"{self.folder}/{table}/{version}")
-        new = self._path(f"{table}/CURRENT-{version}")
-        out = self.fs.create(new, True)
-        out.write(version.encode())
-        out.close()
-        old = self._path(f"{table}/CURRENT")
-        self.fs.delete(old, False)
-        self.fs.rename(new, old)
+        if len(self._pointers(table)) != len(found):
+            raise RuntimeError(f"{table} was written meanwhile; read it again")
+        self.fs.create(self._path(f"{table}/current-{number:012d}-{version}"), False).close()
