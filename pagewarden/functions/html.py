@@ -79,11 +79,14 @@ class Node:
     def __init__(self, name: str, attrs: dict[str, str]):
         self.name, self.attrs, self.children = name, attrs, []
 
-    def walk(self):
-        yield self
-        for c in self.children:
-            if isinstance(c, Node):
-                yield from c.walk()
+    def walk(self, inside=lambda n: True):
+        """This node and those below it in the document's order, without recursion; ``inside`` says whose children to visit."""
+        todo = [self]
+        while todo:
+            node = todo.pop()
+            yield node
+            if inside(node):
+                todo += [c for c in reversed(node.children) if isinstance(c, Node)]
 
 
 class _Builder(HTMLParser):
@@ -183,18 +186,16 @@ def normal_text(text: str) -> str:
 
 
 def _gather(node: Node, skip, out: list[str], links: list[Node] | None) -> None:
-    for c in node.children:
+    todo: list[Node | str] = list(reversed(node.children))
+    while todo:
+        c = todo.pop()
         if isinstance(c, str):
             out.append(c)
         elif not skip(c):
             if links is not None and c.name == "a":
                 links.append(c)
-            block = c.name in V.BLOCKS
-            if block:
-                out.append("\n")
-            _gather(c, skip, out, links)
-            if block:
-                out.append("\n")
+            edge = ["\n"] if c.name in V.BLOCKS else []
+            todo += [*edge, *reversed(c.children), *edge]
 
 
 def text_of(node: Node, skip, links: list[Node] | None = None) -> str:
@@ -204,11 +205,11 @@ def text_of(node: Node, skip, links: list[Node] | None = None) -> str:
 
 
 def _candidates(node: Node):
-    for c in node.children:
-        if isinstance(c, Node) and not _framed(c):
-            if c.name != "a":
-                yield c
-            yield from _candidates(c)
+    """Nodes below that are not framed, links left out but not what is in them."""
+    kept = lambda n: n is node or not _framed(n)
+    for n in node.walk(kept):
+        if n is not node and n.name != "a" and kept(n):
+            yield n
 
 
 def container(body: Node) -> tuple[str, Node]:
