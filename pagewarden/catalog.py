@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions import codes, dates, decisions, html, http, names, urls
 from .functions import vocab as V
-from .plans import relational, report
+from .operators import candidates, crawl, moves, store
+from .plans import relational, report, runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -208,13 +209,16 @@ def retire_unused(spark, d):
     return table(spark, d, "customer").select(F.col("c_custkey").alias("url_id")).join(table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("url_id")), "url_id", "left_anti")
 
 
-@query("SELECT o_custkey, CASE max(CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END) WHEN 3 THEN 'redirect' WHEN 2 THEN 'declared' ELSE 'normalized' END AS source, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS final_key FROM orders GROUP BY o_custkey")
+@query("""WITH o AS (SELECT o_custkey, o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 3 WHEN '2' THEN 2 ELSE 1 END AS s, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS a, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS b FROM orders)
+SELECT x.o_custkey, CASE greatest(x.s, y.s) WHEN 3 THEN 'redirect' WHEN 2 THEN 'declared' ELSE 'normalized' END AS source, y.o_orderkey AS final_key FROM o x JOIN o y USING (o_custkey) WHERE x.a = 1 AND y.b = 1""")
 def upsert_keep_strongest(spark, d):
-    """A resource keeps its strongest source and its last final URL."""
+    """A resource that is seen again keeps its stronger source and gets the new final URL."""
     first = F.substring("o_orderpriority", 1, 1)
-    strength = F.when(first == "1", 3).when(first == "2", 2).otherwise(1)
-    out = table(spark, d, "orders").groupBy("o_custkey").agg(F.max(strength).alias("s"), F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("final_key"))
-    return out.select("o_custkey", F.element_at(F.array(*map(F.lit, V.SOURCES)), F.col("s")).alias("source"), "final_key")
+    source = F.when(first == "1", "redirect").when(first == "2", "declared").otherwise("normalized")
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey", source.alias("canonical_source"))
+    old, new = relational.first_by(rows, "o_custkey", "o_orderdate", "o_orderkey"), relational.latest(rows, "o_custkey", "o_orderdate", "o_orderkey")
+    out = store.upsert(old, new, ["o_custkey"], ["o_orderkey", "canonical_source"], {"canonical_source": crawl.stronger_source()})
+    return out.select("o_custkey", F.col("canonical_source").alias("source"), F.col("o_orderkey").alias("final_key"))
 
 
 # ---- run reports -----------------------------------------------------------------------------------------------------
@@ -256,13 +260,98 @@ def failed_final_count(spark, d):
     return queue(spark, d).where("status = 'failed_final'").agg(F.count_distinct(F.col("url_id") % 500).alias("failed_final"))
 
 
-@query(HIST + ", r AS (SELECT DISTINCT run_id FROM hist) SELECT a.run_id::VARCHAR AS run_id, coalesce(max(b.run_id)::VARCHAR, '') AS previous FROM r a LEFT JOIN r b ON b.run_id < a.run_id GROUP BY a.run_id")
+RUNS = HIST + """, ran AS (SELECT run_id::VARCHAR AS id, run_id::TIMESTAMP AS started_at, CASE WHEN day(run_id) % 4 <> 0 THEN run_id::TIMESTAMP + INTERVAL 1 HOUR END AS finished_at FROM (SELECT DISTINCT run_id FROM hist) UNION ALL SELECT 'empty', min(run_id)::TIMESTAMP + INTERVAL 36 HOUR, min(run_id)::TIMESTAMP + INTERVAL 37 HOUR FROM hist)
+"""
+
+
+def crawl_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days as runs, a fourth of them unfinished, and a finished one that fetched nothing."""
+    h = history(spark, sf_dir)
+    start = F.col("run_id").cast("timestamp")
+    hour = lambda n: F.make_dt_interval(hours=F.lit(n))
+    days = h.select("run_id").distinct().select(F.col("run_id").cast("string").alias("id"), start.alias("started_at"), F.when(F.dayofmonth("run_id") % 4 != 0, start + hour(1)).alias("finished_at"))
+    first = h.agg(F.min("run_id").cast("timestamp").alias("t"))
+    return days.unionByName(first.select(F.lit("empty").alias("id"), (F.col("t") + hour(36)).alias("started_at"), (F.col("t") + hour(37)).alias("finished_at")))
+
+
+@query(RUNS + """SELECT a.id, coalesce((SELECT arg_max(b.id, (b.started_at, b.id)) FROM ran b WHERE b.started_at < a.started_at AND b.finished_at IS NOT NULL AND EXISTS (SELECT 1 FROM hist WHERE run_id::VARCHAR = b.id)), '') AS previous FROM ran a""")
 def previous_run(spark, d):
-    """The finished run with a history before each run."""
-    runs = history(spark, d).select("run_id").distinct()
-    from pyspark.sql import Window as W
+    """The last finished run with a history before each run."""
+    h = history(spark, d).withColumn("run_id", F.col("run_id").cast("string"))
+    return runs.previous_runs(crawl_runs(spark, d), h).select("id", F.coalesce("previous", F.lit("")).alias("previous"))
+
+
+@query(RUNS + "SELECT id FROM ran ORDER BY started_at DESC, id DESC LIMIT 1")
+def latest_run(spark, d):
+    return runs.latest_run(crawl_runs(spark, d)).select("id")
+
 
-    return runs.select(F.col("run_id").cast("string").alias("run_id"), F.coalesce(F.lag("run_id").over(W.orderBy("run_id")).cast("string"), F.lit("")).alias("previous"))
+URLS = HIST + """, u AS (SELECT DISTINCT url_id AS id, 'https://q' || (url_id % 97)::VARCHAR || '.example' AS host_key, 'https://q' || (url_id % 97)::VARCHAR || '.example/p' || url_id::VARCHAR AS normalized_url, CASE WHEN url_id % 5 = 0 THEN 'index' ELSE 'seed' END AS role, CASE WHEN url_id % 4 = 0 THEN 'failed_final' ELSE 'queued' END AS status FROM hist)
+"""
+
+
+def url_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetched URLs, a fifth of them index pages, a fourth failed for good."""
+    i = F.col("id")
+    host = F.concat(F.lit("https://q"), (i % 97).cast("string"), F.lit(".example"))
+    return history(spark, sf_dir).select(F.col("url_id").alias("id")).distinct().select(
+        "id", host.alias("host_key"), F.concat(host, F.lit("/p"), i.cast("string")).alias("normalized_url"), F.when(i % 5 == 0, "index").otherwise("seed").alias("role"), F.when(i % 4 == 0, "failed_final").otherwise("queued").alias("status"),
+    )
+
+
+@query(URLS + "SELECT role = 'index' AS index, host_key AS host, count(*) AS fetched, count(*) FILTER (outcome = 'response') AS responses, count(*) FILTER (outcome = 'response' AND http_status = 200) AS ok, count(*) FILTER (outcome = 'response' AND http_status = 304) AS not_modified, count(*) FILTER (observation = 'not_found') AS not_found FROM hist JOIN u ON u.id = url_id GROUP BY 1, 2")
+def run_report_by_role(spark, d):
+    return runs.role_stats(runs.by_role(history(spark, d), url_table(spark, d)))
+
+
+@query(URLS + "SELECT count(DISTINCT url_id) AS failed_final FROM hist JOIN u ON u.id = url_id WHERE status = 'failed_final' AND run_id = (SELECT min(run_id) FROM hist)")
+def failed_final_of_run(spark, d):
+    """URLs that one run touched and that have failed for good."""
+    h = history(spark, d)
+    return runs.failed_final(runs.by_role(h, url_table(spark, d), h.agg(F.min("run_id")).first()[0]))
+
+
+@query(URLS + """, dec AS (SELECT url_id, arg_max(said, (fetched_at, said)) AS said FROM (SELECT url_id, fetched_at, CASE WHEN k % 4 = 0 THEN 'mailto:x' ELSE 'https://q' || (url_id % 97)::VARCHAR || '.example/d' || (k % 5)::VARCHAR END AS said FROM hist WHERE k % 3 <> 0) GROUP BY url_id)
+SELECT host_key AS host, normalized_url AS page, said AS declared FROM dec JOIN u ON u.id = url_id WHERE said <> 'mailto:x'""")
+def latest_declarations(spark, d):
+    """Each URL's last declared canonical URL in the history; unreadable ones say nothing."""
+    return runs.latest_declarations(_declared(spark, d), url_table(spark, d))
+
+
+def _declared(spark, d) -> DataFrame:
+    k = F.col("k")
+    said = F.when(k % 4 == 0, "mailto:x").otherwise(F.concat(F.lit("https://q"), (F.col("url_id") % 97).cast("string"), F.lit(".example/d"), (k % 5).cast("string")))
+    return history(spark, d).withColumn("declared_canonical_url", F.when(k % 3 != 0, said))
+
+
+@query(URLS + """, t AS (SELECT max(fetched_at) - INTERVAL 10 DAY AS t FROM hist), w AS (SELECT url_id, max(fetched_at) AS seen FROM hist WHERE k % 6 = 0 GROUP BY url_id)
+SELECT u.id AS url_id, coalesce(seen > t - INTERVAL 28 DAY, false) AS recent, CASE WHEN coalesce(seen > t - INTERVAL 28 DAY, false) THEN 'e' || u.id::VARCHAR ELSE '' END AS etag FROM u LEFT JOIN w ON w.url_id = u.id, t""")
+def recent_full_read(spark, d):
+    """Validators to ask with: of resources whose body was read in full in the last 28 days."""
+    h, u = history(spark, d), url_table(spark, d).select(F.col("id").alias("url_id"), F.col("id").alias("resource_id"))
+    kept = u.select(F.col("resource_id").alias("id"), F.concat(F.lit("e"), F.col("resource_id").cast("string")).alias("etag"), F.lit(None).cast("string").alias("last_modified"))
+    whole = h.withColumn("raw_hash", F.when(F.col("k") % 6 == 0, "x"))
+    return crawl.validators(u, whole, kept, clock(h)).select("url_id", "recent", F.coalesce("etag", F.lit("")).alias("etag"))
+
+
+@query(HIST + "SELECT event_id, CASE WHEN k % 3 = 0 THEN 'stale_claim' WHEN k % 2 = 0 AND k % 5 <> 0 THEN 'already_recorded' ELSE 'saved' END AS outcome FROM hist")
+def record_outcomes(spark, d):
+    """Recording finished attempts: stale claims, rows that are there already, retries that replace them."""
+    h = history(spark, d)
+    urls_now = h.select(F.col("event_id").alias("id"), F.lit(7).alias("claim_token"))
+    there = h.where("k % 2 = 0").select(F.lit("r").alias("run_id"), F.col("event_id").alias("url_id"))
+    token, retry = F.when(F.col("k") % 3 == 0, 6).otherwise(7), F.col("k") % 5 == 0
+    done = h.select(F.lit("r").alias("run_id"), F.col("event_id").alias("url_id"), token.alias("claim_token"), retry.alias("retry"))
+    return crawl.record_outcomes(urls_now, there, done).select(F.col("url_id").alias("event_id"), "outcome")
+
+
+@query("SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN p_size % 3 = 0 AND p_size % 5 <> 0 ELSE false END AS pdf FROM part")
+def pdf_inference(spark, d):
+    """By the body where it was read, otherwise by the hashes that are kept."""
+    k = F.col("p_size") % 4
+    outcome, kind = F.when(k == 3, "network").otherwise("response"), F.when(k == 0, "pdf").when(k == 1, "html").otherwise("not_read")
+    pdf = crawl.is_pdf(outcome, kind, F.when(F.col("p_size") % 3 == 0, "r"), F.when(F.col("p_size") % 5 == 0, "b"))
+    return table(spark, d, "part").select("p_partkey", pdf.alias("pdf"))
 
 
 STATS = HIST + """, s AS (SELECT host, count(*) AS fetched, count(*) FILTER (outcome = 'response') AS responses, count(*) FILTER (outcome = 'response' AND http_status = 200) AS ok, count(*) FILTER (outcome = 'response' AND http_status = 304) AS nm, count(*) FILTER (outcome = 'response' AND http_status BETWEEN 500 AND 599) AS throttled, count(*) FILTER (observation = 'not_found') AS missing FROM hist GROUP BY host)
@@ -389,12 +478,6 @@ def pacing_fold(spark, d):
     return h.select("host", http.pace(F.transform("seq", lambda x: x["r"])).alias("p")).select("host", "p.slowdowns", "p.wait")
 
 
-@query(HIST + "SELECT url_id, (CASE WHEN max(fetched_at) FILTER (body_hash IS NOT NULL) > max(fetched_at) - INTERVAL 28 DAY THEN true ELSE false END) AS recent FROM hist GROUP BY url_id")
-def recent_full_read(spark, d):
-    h = history(spark, d)
-    return h.groupBy("url_id").agg(F.coalesce(F.max(F.when(F.col("body_hash").isNotNull(), F.col("fetched_at"))) > F.max("fetched_at") - F.expr("INTERVAL 28 DAYS"), F.lit(False)).alias("recent"))
-
-
 # ---- URLs and pages --------------------------------------------------------------------------------------------------
 
 NORMAL = """WITH u AS (SELECT page_id, url, regexp_replace(url, '#.*$', '') AS bare FROM pages), v AS (SELECT *, split_part(bare, '?', 1) AS path, list_sort(list_filter(string_split(CASE WHEN strpos(bare, '?') > 0 THEN substr(bare, strpos(bare, '?') + 1) ELSE '' END, '&'), lambda p: p <> '' AND split_part(p, '=', 1) NOT IN ('utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'gclid'))) AS q FROM u),
@@ -470,9 +553,27 @@ def html_body_hash(spark, d):
     return _pages(spark, d).select("page_id", *[c.alias(n) for n, c in prints.items()])
 
 
-@query()
+def _bodied(spark, d) -> DataFrame:
+    """Pages with text and links in their own part and in their chrome, as extractions."""
+    i = F.col("page_id").cast("string")
+    body = F.concat(
+        F.lit("<html><head><title>T</title></head><body><nav><a href='/nav.html'>Navigation</a></nav><main><h1>Title "), i, F.lit("</h1><p>Some&nbsp;  text\t"), i, F.lit(". <a href='b"), i, F.lit(".html#top'> Link  <b>"), i,
+        F.lit("</b></a> <a href='mailto:x@y.example'>mail</a><a href='/b.html?b=2&amp;a=1'>Two</a></p><footer>Foot</footer></main></body></html>"),
+    )
+    return table(spark, d, "pages").select("page_id", html.extracted(body, F.concat(F.lit("https://h.example/d/p"), i, F.lit(".html"))).alias("e"))
+
+
+@query("SELECT page_id, 'https://h.example/d/b' || page_id::VARCHAR || '.html' AS url, 'Link ' || page_id::VARCHAR AS text FROM pages UNION ALL SELECT page_id, 'https://h.example/b.html?a=1&b=2', 'Two' FROM pages")
 def html_links(spark, d):
-    return _pages(spark, d).select("page_id", F.explode("e.anchors").alias("a")).select("page_id", "a.url", "a.text")
+    """Links of a page's own part: absolute, without fragments, queries in order, with their text."""
+    return _bodied(spark, d).select("page_id", F.explode("e.anchors").alias("a")).select("page_id", "a.url", "a.text")
+
+
+@query("SELECT page_id, 'main' AS rule, sha256('Title ' || page_id::VARCHAR || chr(10) || 'Some text ' || page_id::VARCHAR || '. Link ' || page_id::VARCHAR || ' mailTwo') AS body_hash FROM pages")
+def html_own_part(spark, d):
+    """The rule that finds a page's own part and the hash of that part's text."""
+    e = _bodied(spark, d)
+    return e.select("page_id", F.col("e.rule").alias("rule"), html.fingerprints(F.col("e"))["body_hash"].alias("body_hash"))
 
 
 @query("SELECT sha256(text) AS text_hash, min(doc_id) AS first_doc, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -483,8 +584,10 @@ def text_hash_dups(spark, d):
 
 @query("SELECT DISTINCT source, sha256(text) AS body_hash FROM documents")
 def content_versions(spark, d):
-    """Each content of a resource once."""
-    return table(spark, d, "documents").select("source", F.sha2("text", 256).alias("body_hash")).distinct()
+    """Each content of a resource once; the first half of the documents is there already."""
+    rows = table(spark, d, "documents").select("doc_id", F.col("source").alias("resource_id"), F.sha2("text", 256).alias("body_hash"))
+    there = rows.where("doc_id % 2 = 0").select("resource_id", "body_hash").distinct()
+    return crawl.add_versions(there, rows).select(F.col("resource_id").alias("source"), "body_hash")
 
 
 @query("SELECT source, arg_min(doc_id, doc_id) AS first_doc FROM documents GROUP BY source")
@@ -492,10 +595,11 @@ def first_wins(spark, d):
     return relational.first_by(table(spark, d, "documents").select("source", F.col("doc_id").alias("first_doc")), "source", "first_doc")
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("SELECT doc_id, 'label' AS origin FROM labels UNION ALL SELECT DISTINCT doc_id, 'document' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def insert_ignore(spark, d):
-    """Rows whose key is not there yet."""
-    return table(spark, d, "documents").select("doc_id").join(table(spark, d, "labels").select("doc_id"), "doc_id", "left_anti")
+    """Rows whose key is not there yet come in; what is there stays as it is."""
+    there = table(spark, d, "labels").select("doc_id", F.lit("label").alias("origin"))
+    return store.insert_ignore(there, table(spark, d, "documents").select("doc_id", F.lit("document").alias("origin")), ["doc_id"])
 
 
 # ---- names -----------------------------------------------------------------------------------------------------------
@@ -511,8 +615,10 @@ sc AS (SELECT p_partkey, s_suppkey, CASE WHEN len(nm) < 4 OR len(nm2) < 4 THEN 0
 def _scores(spark, d) -> DataFrame:
     """Program names against link texts of the same host."""
     p = table(spark, d, "part").select("p_partkey", "p_brand", names.normalize_name(F.col("p_name")).alias("nm"))
-    s = table(spark, d, "supplier").select("s_suppkey").join(p.select(F.col("p_partkey").alias("s_suppkey"), F.col("nm").alias("nm2"), "p_brand"), "s_suppkey")
-    return p.join(s, "p_brand").select("p_partkey", "s_suppkey", names.similarity(F.col("nm"), F.col("nm2")).alias("score"))
+    s = table(spark, d, "supplier").select("s_suppkey").join(p.select(F.col("p_partkey").alias("s_suppkey"), "nm", "p_brand"), "s_suppkey")
+    s = s.select("s_suppkey", "p_brand", names.features(F.col("nm")).alias("b"))
+    pairs = p.select("p_partkey", "p_brand", names.features(F.col("nm")).alias("a")).join(s, "p_brand")
+    return pairs.select("p_partkey", "s_suppkey", names.similar(F.col("a"), F.col("b"), V.MIN_SCORE).alias("score"))
 
 
 @query(SIM + "SELECT p_partkey, s_suppkey, score FROM sc WHERE score >= 0.6")
@@ -602,3 +708,85 @@ def state_stream(spark, d):
     q.awaitTermination()
     out = spark.table(name)
     return out.groupBy("url_id").agg(F.max_by(F.struct("state", "misses"), "seen").alias("s")).select("url_id", "s.state", "s.misses")
+
+
+# ---- moved pages and related links ------------------------------------------------------------------------------------
+
+
+def _dead(spark, d) -> dict[str, DataFrame]:
+    """Customers as programs with a main URL each, whose current resource is their last order."""
+    c = table(spark, d, "customer")
+    key, host = F.col("c_custkey"), F.concat(F.lit("https://h"), (F.col("c_custkey") % 50).cast("string"), F.lit(".example"))
+    main = F.concat(host, F.lit("/a"), key.cast("string"), F.lit(".html"))
+    many = links(spark, d)
+    return {
+        "programs": c.select(key.alias("id"), F.col("c_nationkey").alias("area_code"), F.col("c_name").alias("canonical_name"), F.lit(None).cast("string").alias("short_name")),
+        "links": c.select(key.alias("program_id"), key.alias("url_id"), F.lit("main").alias("role")),
+        "urls": c.select(key.alias("id"), main.alias("raw_url"), main.alias("normalized_url"), main.alias("dedup_key"), host.alias("host_key")),
+        "url_resources": many.select("url_id", "resource_id", "observed_at"), "resources": many.select(F.col("resource_id").alias("id"), "state"),
+    }
+
+
+DEAD = LINKS + ", dead AS (SELECT c_custkey AS program_id, 'https://h' || (c_custkey % 50)::VARCHAR || '.example' AS host_key, 'https://h' || (c_custkey % 50)::VARCHAR || '.example/a' || c_custkey::VARCHAR || '.html' AS url, c_nationkey AS area_code FROM customer JOIN cur ON cur.url_id = c_custkey WHERE cur.state IN ('deleted', 'deletion_candidate'))\n"
+
+
+@query(DEAD + "SELECT program_id, area_code, url AS dead_url, host_key FROM dead")
+def move_targets(spark, d):
+    return moves.targets(**_dead(spark, d)).select("program_id", "area_code", F.col("normalized_url").alias("dead_url"), "host_key")
+
+
+@query(DEAD + "SELECT program_id, url AS dedup_key FROM dead")
+def program_keys(spark, d):
+    t = _dead(spark, d)
+    return moves.own_keys(moves.targets(**t), t["links"], t["urls"])
+
+
+RELATED = """, r AS (SELECT program_id, CASE WHEN program_id % 2 = 0 THEN 1 ELSE 0 END AS good, CASE WHEN program_id % 3 = 0 THEN 1 ELSE 0 END AS other_host, CASE WHEN program_id % 5 = 0 THEN 1 ELSE 0 END AS not_html, CASE WHEN program_id % 7 = 0 THEN 1 ELSE 0 END AS same_as_main, CASE WHEN program_id % 11 = 0 THEN 1 ELSE 0 END AS form FROM dead)
+"""
+
+
+def _related(spark, d) -> DataFrame:
+    """Registry rows with related links of each sort, for the dead programs."""
+    t = _dead(spark, d)
+    dead, i = moves.targets(**t), F.col("program_id")
+    at = lambda path: F.concat(F.col("host_key"), F.lit("/"), path)
+    uri = lambda when, url: F.when(when, F.struct(url.alias("uri")))
+    own = F.concat(F.lit("r"), i.cast("string"), F.lit(".html"))
+    found = F.array_compact(F.array(uri(i % 2 == 0, at(own)), uri(i % 3 == 0, F.lit("https://o.example/x.html")), uri(i % 5 == 0, at(F.lit("f.pdf"))), uri(i % 7 == 0, F.col("normalized_url")), uri(i % 11 == 0, at(F.lit("cgi-bin/f.html")))))
+    rows = dead.select("program_id", F.col("dedup_key").alias("main_key"), F.col("host_key").alias("main_host"), F.to_json(F.struct(F.struct(F.col("normalized_url").alias("uri")).alias("localGovernmentLink"), found.alias("relatedLink"))).alias("registry"))
+    hosts = relational.allow_list(t["urls"]).unionByName(spark.createDataFrame([("https://o.example",)], "host_key string"))
+    return candidates.related(rows, hosts)
+
+
+@query(DEAD + RELATED + "SELECT reason, n FROM (SELECT 'other_host' AS reason, sum(other_host)::BIGINT AS n FROM r UNION ALL SELECT 'not_html', sum(not_html)::BIGINT FROM r UNION ALL SELECT 'same_as_main', sum(same_as_main)::BIGINT FROM r UNION ALL SELECT 'form', sum(form)::BIGINT FROM r) WHERE n > 0")
+def drop_reasons(spark, d):
+    return moves.drop_reasons(_related(spark, d))
+
+
+@query(DEAD + RELATED + "SELECT sum(good)::BIGINT AS programs FROM r")
+def programs_with_related(spark, d):
+    return moves.with_candidates(_related(spark, d))
+
+
+MOVED = SIM + """, own AS (SELECT p_partkey, s_suppkey, score, 'https://x.example/s' || s_suppkey::VARCHAR || '.html' AS url FROM sc WHERE score >= 0.6 AND p_partkey % 3 = 0), kept AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY score DESC, url) AS rank, count(*) OVER (PARTITION BY p_partkey) AS n FROM own WHERE p_partkey <> s_suppkey)
+"""
+
+
+def _named_pages(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every third part as a program, suppliers as pages of the brand's host with the name of the part of their number."""
+    p = table(spark, d, "part")
+    found = p.where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("program_id"), F.col("p_name").alias("canonical_name"), F.lit(None).cast("string").alias("short_name"), F.col("p_brand").alias("host_key"))
+    url = F.concat(F.lit("https://x.example/s"), F.col("s_suppkey").cast("string"), F.lit(".html"))
+    pages = table(spark, d, "supplier").join(p, F.col("s_suppkey") == F.col("p_partkey")).select(F.col("p_brand").alias("host_key"), url.alias("url"), url.alias("dedup_key"), F.col("p_name").alias("text"))
+    own = found.select("program_id", F.concat(F.lit("https://x.example/s"), F.col("program_id").cast("string"), F.lit(".html")).alias("dedup_key"))
+    return found, pages, own
+
+
+@query(MOVED + "SELECT p_partkey AS program_id, url, score, rank, greatest(0, n - 3)::BIGINT AS more FROM kept WHERE rank <= 3")
+def suggest_moves(spark, d):
+    return candidates.suggestions(*_named_pages(spark, d)).select("program_id", "url", "score", "rank", F.col("more").cast("long").alias("more"))
+
+
+@query(MOVED + "SELECT count(*) AS skipped_judged FROM own WHERE p_partkey = s_suppkey")
+def skipped_judged(spark, d):
+    return moves.skipped(*_named_pages(spark, d))

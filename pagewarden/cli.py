@@ -9,8 +9,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from . import api
-from .operators import candidates, crawl, registry_import, review_links
+from .operators import candidates, crawl, moves, registry_import, review_links
 from .operators.store import Store
+from .plans import runs
 from .sources import registry, reviews
 
 
@@ -27,6 +28,14 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     rev.add_argument("step", choices=["register", "link"])
     rev.add_argument("folder")
     rev.add_argument("--dry-run", action="store_true")
+    related = sub.add_parser("link-related")
+    related.add_argument("--dry-run", action="store_true")
+    told = sub.add_parser("run-report")
+    told.add_argument("--run")
+    told.add_argument("--append", help="a file that the report is added to")
+    moved = sub.add_parser("suggest-moves")
+    moved.add_argument("--reviews", help="a folder of review files whose pages are left out")
+    moved.add_argument("--out", help="the file of candidates")
     show = sub.add_parser("programs")
     show.add_argument("area")
     show.add_argument("--age-months")
@@ -62,11 +71,35 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             links = store.read("program_urls")
             decided = review_links.ladder(checked, links, store.read("urls"), store.read("url_resources"), store.read("resources"), store.read("host_moves")).cache()
-            print(json.dumps({r.outcome: r["count"] for r in decided.groupBy("outcome").count().collect()}))
+            counts = {r.outcome: r["count"] for r in decided.groupBy("outcome").count().collect()}
+            print(json.dumps(counts))
             if not a.dry_run:
                 after = review_links.apply(links, decided)
                 store.write("urls", review_links.promoted(store.read("urls"), decided, after, now))
                 store.write("program_urls", after)
+            if set(counts) - {"none", "already", "apply"}:
+                return 1
+    elif a.command == "link-related":
+        print(json.dumps(moves.link_related(store, now, a.dry_run)))
+    elif a.command == "run-report":
+        try:
+            text = runs.markdown(runs.load(store.read("crawl_runs"), store.read("fetch_history"), store.read("urls"), now, a.run))
+        except LookupError as e:
+            print(f"error: {e}")
+            return 1
+        print(text)
+        if a.append:
+            with open(a.append, "a", encoding="utf-8") as out:
+                out.write(text)
+    elif a.command == "suggest-moves":
+        none = spark.createDataFrame([], "program_id string, dedup_key string")
+        judged = reviews.judged(reviews.validated(reviews.read_reviews(spark, a.reviews))) if a.reviews else none
+        report = moves.suggest(store, judged)
+        print(moves.markdown(report))
+        if a.out:
+            at = spark.range(1).select(now.cast("string")).first()[0]
+            with open(a.out, "w", encoding="utf-8") as out:
+                out.write(moves.candidate_file(report, at))
     else:
         try:
             print(json.dumps(api.area_programs(store, a.area, a.age_months, a.category), ensure_ascii=False))

@@ -150,3 +150,19 @@ def schedule(job: Column, kind: Column, changed: Column, retries: Column, interv
     after = F.when(job != "retry", new).when(final, float(V.FAILED_FINAL_DAYS * V.DAY)).otherwise(backoff(failures) + jitter_ms(url_id) / 1000)
     count = F.when(job == "succeeded", 0).when(job == "blocked", retries).otherwise(failures)
     return F.struct(status.alias("status"), count.cast("int").alias("retry_count"), after.alias("after"), F.when(job != "retry", new).otherwise(interval.cast("double")).alias("interval"))
+
+
+def shortest_interval_s() -> int:
+    """The least time until a URL is due again, over all kinds of visits."""
+    return V.DAY * min(V.FAILED_FINAL_DAYS, *(least for _, least, _ in V.BOUNDS.values()))
+
+
+def longest_retry_wait_s() -> float:
+    return V.BACKOFF_MOST_S + V.JITTER_MS / 1000
+
+
+def checked_ahead(ahead_s: int) -> int:
+    """A look-ahead that cannot make a run fetch a URL twice; a longer one is an error."""
+    if ahead_s >= shortest_interval_s():
+        raise ValueError(f"looking {ahead_s} s ahead would reach a URL's next visit ({shortest_interval_s()} s)")
+    return ahead_s

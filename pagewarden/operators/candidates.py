@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions import vocab as V
-from ..functions.names import normalize_name, similarity
+from ..functions.names import features, normalize_name, similar
 from ..plans.relational import coverage, latest, park, ranked
 from .registry_import import url_rows
 
@@ -66,14 +66,25 @@ def registered_starts(table: DataFrame, starts: DataFrame, links: DataFrame, now
     return rows.unionByName(fresh, allowMissingColumns=True)
 
 
+def scored(targets: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs (program_id, dedup_key, url, text, score) of a target's names and the texts of its host's pages that are alike.
+
+    Bigrams are made once for each name and text; a pair costs one set intersection, and none where lengths rule it out."""
+    names = F.explode(F.array_distinct(F.array_compact(F.array("canonical_name", "short_name"))))
+    named = targets.select("program_id", "host_key", names.alias("name")).withColumn("nm", normalize_name(F.col("name"))).where("nm <> ''")
+    named = named.select("program_id", "host_key", features(F.col("nm")).alias("a"))
+    pages = links.where(urls.page_like(F.col("url"))).withColumn("txt", normalize_name(F.col("text")))
+    pages = pages.select("host_key", "url", "dedup_key", "text", features(F.col("txt")).alias("b"))
+    pairs = named.join(pages, "host_key").withColumn("score", similar(F.col("a"), F.col("b"), V.MIN_SCORE))
+    return pairs.where(F.col("score") >= V.MIN_SCORE).drop("a", "b")
+
+
 def suggestions(targets: DataFrame, links: DataFrame, excluded: DataFrame) -> DataFrame:
     """For dead programs (program_id, canonical_name, short_name, host_key) and links (host_key, url, dedup_key, text): the
     best MAX_CANDIDATES pages of the host by name, each with its score, rank, and how many more there are.
 
     excluded: (program_id, dedup_key) that are the program's own or already judged."""
-    named = targets.select("program_id", "host_key", F.explode(F.array_distinct(F.array_compact(F.array("canonical_name", "short_name")))).alias("name")).withColumn("nm", normalize_name(F.col("name"))).where("nm <> ''")
-    pages = links.where(urls.page_like(F.col("url"))).withColumn("txt", normalize_name(F.col("text"))).select("host_key", "url", "dedup_key", "text", "txt")
-    pairs = named.join(pages, "host_key").join(excluded, ["program_id", "dedup_key"], "left_anti").withColumn("score", similarity(F.col("nm"), F.col("txt"))).where(F.col("score") >= V.MIN_SCORE)
+    pairs = scored(targets, links).join(excluded, ["program_id", "dedup_key"], "left_anti")
     best = pairs.groupBy("program_id", "dedup_key").agg(F.min_by(F.struct("url", "text", "score"), F.struct(-F.col("score"), "url")).alias("b"))
     best = best.select("program_id", "dedup_key", "b.*").withColumn("more", F.greatest(F.lit(0), F.count("*").over(W.partitionBy("program_id")) - V.MAX_CANDIDATES))
     return ranked(best, "program_id", [F.desc("score"), F.asc("url")], V.MAX_CANDIDATES)

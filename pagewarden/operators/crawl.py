@@ -63,6 +63,33 @@ def append_history(history: DataFrame, rows: DataFrame) -> DataFrame:
     return both.withColumn("_n", last).where("_n = 1").drop("_n")
 
 
+def record_outcomes(urls: DataFrame, history: DataFrame, done: DataFrame) -> DataFrame:
+    """What recording each finished attempt (run_id, url_id, claim_token, retry) means: stale_claim where the token is not
+    the URL's any more, already_recorded where the run has a row of the URL and this is no retry, otherwise saved."""
+    holds = urls.select(F.col("id").alias("url_id"), F.col("claim_token").alias("_token"))
+    there = history.select("run_id", "url_id", F.lit(True).alias("_there")).distinct()
+    rows = done.join(holds, "url_id", "left").join(there, ["run_id", "url_id"], "left")
+    stale = ~F.coalesce(F.col("_token") == F.col("claim_token"), F.lit(False))
+    outcome = F.when(stale, "stale_claim").when(F.col("_there") & ~F.coalesce("retry", F.lit(False)), "already_recorded").otherwise("saved")
+    return rows.withColumn("outcome", outcome).drop("_token", "_there")
+
+
+def is_pdf(outcome: Column, body_kind: Column, raw_hash: Column, body_hash: Column) -> Column:
+    """Whether a fetch is of a PDF: by its body, or where none was read by how its resource is kept (a whole but no text hash)."""
+    kept = raw_hash.isNotNull() & body_hash.isNull()
+    by_body = F.when(body_kind == "pdf", True).when(body_kind == "html", False).otherwise(kept)
+    return F.coalesce((outcome == "response") & by_body, F.lit(False))
+
+
+def validators(urls: DataFrame, history: DataFrame, resources: DataFrame, now: Column, every_days: int = V.FULL_FETCH_DAYS) -> DataFrame:
+    """For URLs (url_id, resource_id): etag and last_modified to ask with; none where the body was not read in full lately."""
+    whole = history.where("raw_hash IS NOT NULL").groupBy("url_id").agg(F.max("fetched_at").alias("_read"))
+    kept = resources.select(F.col("id").alias("resource_id"), "etag", "last_modified")
+    recent = F.coalesce(F.col("_read") > now - F.make_dt_interval(days=F.lit(every_days)), F.lit(False))
+    rows = urls.select("url_id", "resource_id").join(whole, "url_id", "left").join(kept, "resource_id", "left")
+    return rows.select("url_id", "resource_id", recent.alias("recent"), *[F.when(recent, F.col(c)).alias(c) for c in ("etag", "last_modified")])
+
+
 def add_host_moves(moves: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
     """Proposed moves (from_host_key, to_host_key, sample_url); a known one keeps its status and first time."""
     fresh = seen.groupBy("from_host_key", "to_host_key").agg(F.min("sample_url").alias("sample_url")).select("from_host_key", "to_host_key", F.lit("proposed").alias("status"), "sample_url", now.alias("first_seen_at"), now.alias("last_seen_at"))
@@ -108,11 +135,29 @@ def resolution(rows: DataFrame, resources: DataFrame) -> DataFrame:
     return r.withColumn("action", action).drop("_fs", "_fc", "_ts", "_tm")
 
 
-def rounds(rows: DataFrame, most: int = 20) -> DataFrame:
-    """Numbers rows so that no two of a round share the resource they come from or the canonical URL they go to."""
-    a = F.row_number().over(W.partitionBy(F.coalesce("from_id", "url_id")).orderBy("url_id"))
-    b = F.row_number().over(W.partitionBy("canonical_url").orderBy("url_id"))
-    return rows.withColumn("round", F.greatest(a, b))
+def rounds(rows: DataFrame) -> DataFrame:
+    """Numbers rows so that no two of a round share the resource they come from or the canonical URL they go to, and a row
+    comes after every earlier one (by url_id) that it shares one with.
+
+    Round by round: the rows that are first on both sides. As many rounds as the longest run of rows that wait for each
+    other; a wave has one fetch for each host, so these are few."""
+    first = lambda *key: F.row_number().over(W.partitionBy(*key).orderBy("url_id")) == 1
+    left, out, k = rows.withColumn("_from", F.coalesce("from_id", "url_id")), None, 0
+    while True:
+        k += 1
+        left = left.withColumn("_go", first("_from")).withColumn("_go", F.col("_go") & first("canonical_url")).persist()
+        now = left.where("_go").drop("_go", "_from").withColumn("round", F.lit(k))
+        out = now if out is None else out.unionByName(now)
+        left = left.where("NOT _go").drop("_go")
+        if left.isEmpty():
+            return out
+
+
+def stronger_source() -> Column:
+    """For upsert(): of the old and the new canonical_source the stronger one."""
+    strength = lambda c: F.array_position(F.array(*map(F.lit, V.SOURCES)), c)
+    old, new = F.col("old.canonical_source"), F.col("new.canonical_source")
+    return F.when(strength(new) > strength(old), new).otherwise(old)
 
 
 def apply_resolution(resources: DataFrame, url_resources: DataFrame, rows: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -127,9 +172,7 @@ def apply_resolution(resources: DataFrame, url_resources: DataFrame, rows: DataF
     res = _with(res, resources, F.col("_to").isNotNull(), {"state": F.lit("moved"), "moved_to_resource_id": F.col("_to")})
     kept = r.where("resource_id IS NOT NULL").groupBy("resource_id").agg(F.min_by(F.struct("canonical_url", "final_url", "declared", "source"), "url_id").alias("x"))
     fresh = kept.select(F.col("resource_id").alias("id"), "x.canonical_url", "x.final_url", F.col("x.declared").alias("declared_canonical_url"), F.col("x.source").alias("canonical_source"), F.lit("active").alias("state"), F.lit(0).alias("consecutive_not_found"), F.lit(0).alias("change_count"))
-    strength = lambda c: F.array_position(F.array(*map(F.lit, V.SOURCES)), c)
-    stronger = F.when(strength(F.col("new.canonical_source")) > strength(F.col("old.canonical_source")), F.col("new.canonical_source")).otherwise(F.col("old.canonical_source"))
-    res = upsert(res, fresh, ["id"], ["final_url", "declared_canonical_url", "canonical_source"], {"canonical_source": stronger})
+    res = upsert(res, fresh, ["id"], ["final_url", "declared_canonical_url", "canonical_source"], {"canonical_source": stronger_source()})
     linked = r.where("resource_id IS NOT NULL").select("url_id", "resource_id", "relation", now.alias("observed_at"))
     return res, upsert(url_resources, linked, ["url_id", "resource_id"], ["relation", "observed_at"]), r
 

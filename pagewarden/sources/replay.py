@@ -20,8 +20,8 @@ Exchange = Callable[[str], tuple[int, dict[str, str], bytes] | str]
 _REDIRECTS = (301, 302, 303, 307, 308)
 
 
-def follow(url: str, allowed: set[str], exchange: Exchange, robots: Callable[[str], str] = lambda host: "allow") -> dict:
-    """One fetch. robots: allow, deny or unavailable for a host."""
+def follow(url: str, allowed: set[str], exchange: Exchange, robots: Callable[..., str] = lambda host, url: "allow") -> dict:
+    """One fetch. robots: allow, deny or unavailable for a host and one of its URLs."""
     hops, seen, blank = [], set(), {"status": None, "etag": None, "last_modified": None, "content_type": None, "x_robots_tag": None, "body": None, "error": None}
 
     def end(outcome: str, **more) -> dict:
@@ -32,7 +32,7 @@ def follow(url: str, allowed: set[str], exchange: Exchange, robots: Callable[[st
         ready = prepare(url)
         if not ready or ready["rejection"] or ready["host_key"] not in allowed:
             return end("out_of_scope", error=error(location=url))
-        if (said := robots(ready["host_key"])) != "allow":
+        if (said := robots(ready["host_key"], ready["normalized"])) != "allow":
             return end("robots_denied" if said == "deny" else "robots_unavailable", error=error(host_key=ready["host_key"]))
         at = ready["normalized"]
         if at in seen:
@@ -53,11 +53,28 @@ def follow(url: str, allowed: set[str], exchange: Exchange, robots: Callable[[st
         url = join_url(at, headers["location"]) or headers["location"]
 
 
-def fetches(claims: DataFrame, allowed: set[str], exchange: Exchange, robots: Callable[[str], str] = lambda host: "allow") -> DataFrame:
-    """claims: (url_id, url, host_key); a row of schema.FETCHES for each."""
+def conditional(exchange: Exchange, etag: str | None, last_modified: str | None) -> Exchange:
+    """The same exchanges for a request with validators: a page that still has one of them is not modified."""
+
+    def ask(url: str):
+        got = exchange(url)
+        if isinstance(got, str) or got[0] != 200:
+            return got
+        same = etag and got[1].get("etag") == etag or not etag and last_modified and got[1].get("last-modified") == last_modified
+        return (304, got[1], b"") if same else got
+
+    return ask
+
+
+def fetches(claims: DataFrame, allowed: set[str], exchange: Exchange, robots: Callable[..., str] = lambda host, url: "allow") -> DataFrame:
+    """claims: (url_id, url, host_key, and etag and last_modified to ask with, if they have these); a row of schema.FETCHES
+    for each."""
+    extra = [c for c in ("etag", "last_modified") if c in claims.columns]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield pd.DataFrame([{"url_id": i, "url": u} | follow(u, allowed, exchange, robots) for i, u in zip(f["url_id"], f["url"])], columns=schema.FETCHES.names)
+            asked = [tuple(r.get(c) if isinstance(r.get(c), str) else None for c in ("etag", "last_modified")) for r in f.to_dict("records")]
+            rows = [{"url_id": i, "url": u} | follow(u, allowed, conditional(exchange, *v), robots) for i, u, v in zip(f["url_id"], f["url"], asked)]
+            yield pd.DataFrame(rows, columns=schema.FETCHES.names)
 
-    return claims.repartition("host_key").select("url_id", "url").mapInPandas(run, schema.FETCHES)
+    return claims.repartition("host_key").select("url_id", "url", *extra).mapInPandas(run, schema.FETCHES)
