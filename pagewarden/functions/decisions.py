@@ -30,7 +30,7 @@ def canonical(hops: Column, declared_raw: Column, declared: Column, trusted: Col
     """struct(canonical_url, source, relation, final_url, declared_canonical_url, ignored_redirect, ignored_declared).
 
     declared: the prepared struct of declared_raw. Null without hops."""
-    start, last = F.get(hops, F.lit(0))["url"], F.element_at(hops, -1)["url"]
+    start, last = F.get(hops, F.lit(0))["url"], F.try_element_at(hops, F.lit(-1))["url"]
     target = permanent_target(hops)
     to_top = F.coalesce(is_top_page(target) & ~is_top_page(start), F.lit(False))
     candidate = F.when(~to_top, target)
@@ -69,7 +69,7 @@ def host_moved(last_url: Column, last_status: Column, location: Column) -> Colum
 
 def verdict(outcome: Column, status: Column, hops: Column, title: Column, title_hash: Column, location: Column, known_titles: Column | None = None) -> Column:
     """struct(job, error_type, observation, host_move) of a fetch."""
-    last, first = F.element_at(hops, -1), F.get(hops, F.lit(0))
+    last, first = F.try_element_at(hops, F.lit(-1)), F.get(hops, F.lit(0))
     response = outcome == "response"
     to_top = (F.size(hops) > 1) & is_top_page(last["url"]) & ~is_top_page(first["url"])
     known = F.coalesce(F.array_contains(known_titles, title_hash), F.lit(False)) if known_titles is not None else F.lit(False)

@@ -177,3 +177,45 @@ def test_commands(spark, store, tmp_path, capsys):
     assert cli.main([store.folder, "run-report", "--run", "none"], spark) == 1
     assert cli.main([store.folder, "suggest-moves", "--out", str(out)], spark) == 0 and len(json.loads(out.read_text())["suggestions"]) == 1
     assert cli.main([store.folder, "link-related", "--dry-run"], spark) == 0 and '"links": 1' in capsys.readouterr().out
+
+
+PAGES = {
+    "https://e.jp/dead.html": (404, {"content-type": "text/html"}, b""),
+    "https://a.jp/": (301, {"location": "/top/"}, b""),
+    "https://a.jp/top/": (200, {"content-type": "text/html", "etag": '"1"'}, b"<html><head><title>Top</title></head><body><p>Hello <a href='/y.html'>Y</a></p></body></html>"),
+    "https://b.jp/f.pdf": (200, {"content-type": "application/pdf"}, b"%PDF-1.4 x"),
+}
+
+
+def exchange(url):
+    if url.endswith("/robots.txt"):
+        return (503, {}, b"") if "c.jp" in url else (404, {}, b"")
+    return PAGES.get(url, (500, {}, b""))
+
+
+def test_a_recorded_run(spark, store):
+    from pagewarden.operators.run import Config, claimed, run
+    from pagewarden.sources.replay import fetches
+
+    more = (("u3", "https://b.jp/f.pdf"), ("u4", "https://c.jp/x.html"), ("u5", "https://d.jp/error.html"), ("u6", "https://e.jp/dead.html"))
+    extra = [{"id": i, "raw_url": u, "normalized_url": u, "dedup_key": u[8:], "host_key": u[: u.index("/", 8)], "role": "seed", "status": "queued"} for i, u in more]
+    urls = store.read("urls").unionByName(rows(spark, "urls", *extra)).fillna({"claim_token": 0, "retry_count": 0, "attempt_count": 0, "priority": 1})
+    urls = urls.withColumn("status", F.when(F.col("id").isin("u1", "u2"), "retired").otherwise(F.col("status")))
+    store.write("urls", urls.withColumn("next_crawl_at", F.lit("2026-01-02 00:00:00").cast("timestamp")))
+    allowed = {f"https://{h}.jp" for h in "abcde"}
+    robots = Robots("warden", allowed, exchange)
+    run_id, summary = run(store, lambda claims: fetches(claims, allowed, exchange, robots), Config(worker="w"), now)
+    assert summary == {"waves": 1, "claimed": 5, "saved": 5, "already_recorded": 0, "stale_claim": 0}
+    history = {r.url_id: r for r in store.read("fetch_history").where(F.col("run_id") == run_id).collect()}
+    assert {i: (r.outcome, r.http_status, r.observation) for i, r in history.items()} == {
+        "i1": ("response", 200, "alive"), "u3": ("response", 200, "alive"), "u4": ("robots_unavailable", None, None), "u5": ("response", 500, None), "u6": ("response", 404, "not_found"),
+    }
+    after = {r.id: r for r in store.read("urls").collect()}
+    assert {i: after[i].status for i in history} == {"i1": "succeeded", "u3": "succeeded", "u4": "retry_wait", "u5": "retry_wait", "u6": "succeeded"}
+    assert after["u3"].recrawl_interval_secs == 30 * 86_400 and after["i1"].recrawl_interval_secs == 7 * 86_400 and after["u5"].last_error_type == "server_error"
+    resources = {r.canonical_url: r for r in store.read("resources").collect()}
+    assert resources["https://e.jp/dead.html"].state == "deletion_candidate" and resources["https://a.jp/top/"].etag == '"1"' and resources["https://b.jp/f.pdf"].raw_hash
+    assert resources["https://a.jp/top/"].id == "r3" and {r.url for r in store.read("page_links").collect()} == {"https://a.jp/y.html"}
+    report = runs.load(store.read("crawl_runs"), store.read("fetch_history"), store.read("urls"), now(), run_id)
+    assert report["config"]["worker"] == "w" and report["stats"]["claimed"] == 5 and report["stats"]["index_hosts"]["https://a.jp"]["fetched"] == 1
+    assert {a["kind"] for a in report["alerts"]} == {"host_skipped"} and claimed(store, Config(worker="w"), now()) is None
