@@ -701,12 +701,14 @@ def state_stream(spark, d):
 
     from .streaming.states import resource_states
 
-    schema = table(spark, d, "events").schema
-    name = f"states_{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    q = resource_states(_observed(_history_of(stream))).writeStream.outputMode("update").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = spark.table(name)
+    kind = table(spark, d, "events").schema
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{shared}/pagewarden/states-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(kind).option("pathGlobFilter", "events.parquet").parquet(d)
+    changed = resource_states(_observed(_history_of(stream))).writeStream.outputMode("update").trigger(availableNow=True)
+    write = lambda batch, i: batch.write.mode("overwrite").parquet(f"{folder}/out/batch={i}")
+    changed.option("checkpointLocation", f"{folder}/checkpoint").foreachBatch(write).start().awaitTermination()
+    out = spark.read.parquet(f"{folder}/out")
     return out.groupBy("url_id").agg(F.max_by(F.struct("state", "misses"), "seen").alias("s")).select("url_id", "s.state", "s.misses")
 
 
