@@ -49,6 +49,13 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def cleaned(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; else they stay until the driver's JVM, which
+    does not know how full the disks are, happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def width(spark: SparkSession) -> int:
     """Partitions of an explicit shuffle: the session's setting, which a deployment sizes to its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,7 @@ import hashlib
 import re
 from itertools import combinations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from pagewarden.llm import decontaminate, exact_dedup, ngram_join, suffix_dedup
@@ -61,6 +62,51 @@ def test_ngram_join(spark, monkeypatch):
         assert got == components_of(rows, n, percent)
 
 
+def links_of(rows, n, percent):
+    sets = [(i, {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))}) for i, w in ((i, t.encode().lower().split()) for i, t, *_ in rows)]
+    out = {i: 0 for i, _ in sets}
+    for (i, a), (j, b) in combinations(sets, 2):
+        if a != b and 100 * len(a & b) >= percent * len(a | b):
+            out[i] += 1
+            out[j] += 1
+    return out
+
+
+def test_ngram_join_ties_only_what_may_link(spark, monkeypatch):
+    """Texts that share a rare passage with the next one, but link with none, made one block whose texts went to every tile."""
+    tied = []
+    monkeypatch.setattr(ngram_join, "components", lambda edges: tied.append(edges.count()) or components(edges))
+    long = lambda k, m: " ".join(f"own{k}x{j}" for j in range(m))
+    rows = [(k, f"{long(k, 60 + 30 * (k % 40))} pass{k} age{k} one{k} pass{k + 1} age{k + 1} one{k + 1}", "en", "s", 1) for k in range(120)]
+    got = ngram_join.join(frame(spark, rows)).collect()
+    assert all(r.component_id == r.doc_id and r.n_links == 0 for r in got) and tied == [0]
+
+
+def test_ngram_join_long_postings(spark, monkeypatch):
+    """Long postings are searched and not paired: links of near copies of all sizes, beside texts that only share a passage."""
+    monkeypatch.setattr(ngram_join, "PAIRED", 3)
+    monkeypatch.setattr(ngram_join, "TILE", 8)
+    rows = [(100 * m + k, " ".join(f"w{m}x{j}" if j % 40 != k else f"z{k}x{j}" for j in range(m)), "en", "s", 1) for m in (70, 500, 1100) for k in range(12)]
+    rows += [(5000 + k, f"w70x1 w70x2 w70x3 w70x4 w70x5 {prose(k, 20 * k + 5)}", "en", "s", 1) for k in range(12)]
+    rows += [(6000 + k, " ".join(f"v{j}" for j in range(100 - 3 * k, 200)), "en", "s", 1) for k in range(12)]
+    for n, percent in ((3, 90), (5, 80)):
+        got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.join(frame(spark, rows), n, percent).collect()}
+        links = links_of(rows, n, percent)
+        assert got == {i: (*x, links[i]) for i, x in components_of(rows, n, percent).items()} and any(links.values())
+
+
+def test_signatures():
+    r = np.random.Generator(np.random.PCG64(3))
+    sets = [np.unique(r.integers(0, 1 << 63, m).astype(np.uint64)) for m in (0, 1, 40, 511, 512, 513, 3000)]
+    sets += [s[len(s) // 20 :] for s in sets]
+    row, size = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.array([len(s) for s in sets])
+    packed, bits = ngram_join.signatures(np.concatenate(sets), row, size)
+    sig = np.split(packed, np.cumsum(bits)[:-1] // 8)
+    for (a, x), (b, y) in combinations(list(zip(sets, sig)), 2):
+        w = min(len(x), len(y))
+        assert ngram_join.apart(ngram_join.folded(x[None], w), ngram_join.folded(y[None], w))[0] <= len(np.setxor1d(a, b))
+
+
 def test_ngram_join_empty_and_null_ids(spark):
     assert ngram_join.join(frame(spark, [])).count() == 0
     got = ngram_join.join(frame(spark, [(None, "a b c d", None, None, None), (3, "a b c d", None, None, None), (3, "a b c d", None, None, None)])).collect()
