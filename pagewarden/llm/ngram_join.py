@@ -538,6 +538,8 @@ def join(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
     task = placed.join(docs, F.col("rep") == F.col("doc_id")).select(F.col("root").alias("block"), "i", "j", "node", "tile", "tiled", "text")
     task = task.repartition(buckets, "block", "i", "j").sortWithinPartitions("block", "i", "j", "node")
     solved = stored(task.mapInArrow(_block(n, percent), "node binary, root binary, links long, tiled boolean"), "ngram-links")
+    del task, placed
+    cleaned(spark)  # the texts that were sent to the blocks, before a caller sends the documents again
 
     whole = solved.where("NOT tiled").select("node", "root")
     if not solved.where("tiled").isEmpty():

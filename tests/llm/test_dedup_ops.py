@@ -76,10 +76,12 @@ def test_ngram_join_ties_only_what_may_link(spark, monkeypatch):
     """Texts that share a rare passage with the next one, but link with none, made one block whose texts went to every tile."""
     tied = []
     monkeypatch.setattr(ngram_join, "components", lambda edges: tied.append(edges.count()) or components(edges))
-    long = lambda k, m: " ".join(f"own{k}x{j}" for j in range(m))
-    rows = [(k, f"{long(k, 60 + 30 * (k % 40))} pass{k} age{k} one{k} pass{k + 1} age{k + 1} one{k + 1}", "en", "s", 1) for k in range(120)]
-    got = ngram_join.join(frame(spark, rows)).collect()
-    assert all(r.component_id == r.doc_id and r.n_links == 0 for r in got) and tied == [0]
+    passage = lambda k: " ".join(f"pass{k}x{j}" for j in range(5))
+    common = lambda k: " ".join(f"c{x}" for x in np.random.Generator(np.random.PCG64(k)).integers(0, 50, 200))
+    rows = [(k, f"{passage(k)} {common(k)} {passage(k + 1)}", "en", "s", 1) for k in range(60)]
+    for n, percent in ((3, 90), (5, 80)):
+        got = ngram_join.join(frame(spark, rows), n, percent).collect()
+        assert all(r.component_id == r.doc_id and r.n_links == 0 for r in got) and tied.pop() == 0
 
 
 def test_ngram_join_long_postings(spark, monkeypatch):
