@@ -9,23 +9,24 @@ where S, the probability of spelling the rest of the word and then ending it, an
 is the word's exact count over all training documents, C and T count all and all distinct training words that begin with
 its first id, and D = n1 / (n1 + 2 n2), from the words seen once and twice: absolute discounting towards the spelling.
 
-An id belongs to a class: the most frequent ids have one each, the others share classes by frequency and by whether they
-begin a word; a shared class has finer ones. The probability of an id is that of its class given all ids before it in the
-window, times that of its finer class in the class given the finer class before, times its smoothed share of the finer class.
-The first factor's logits are the log of the class's smoothed frequency after the class before (counted over all training
-documents) plus the output of one self-attention layer over the window, so that attention learns what a class bigram leaves;
-the other two are counts over all training documents.
+Attention is over the ids themselves: an id's input vector is its class's and one of its own, and the hidden state after it
+predicts every id of the vocabulary, in three steps that each sum to one. Ids belong to classes: the most frequent have one
+each, the others share classes by frequency and by whether they begin a word; a shared class has finer ones, and the ids of a
+finer class are the leaves of a binary tree. The hidden state adds, by output vectors, to the logits of the class, of the
+finer class in it and of each decision in the tree. What counts over all training documents say is where the logits start:
+the class's smoothed frequency after the class before, the finer class's in its class after the finer class before, and the
+smoothed share of ids that go left.
 
 Windows of ``LENGTH`` ids overlap: each scores ``STRIDE`` ids and repeats the ``LENGTH - STRIDE`` before them as context
-(none before a text's first id), so every id is scored once. Positions enter as a bias for each distance. As inputs are
-classes, what a class asks of another is a table, exact and made once for all windows of a step; masked attention over a
-batch of windows is a gather from it.
+(none before a text's first id), so every id is scored once. Positions enter as a bias for each distance.
 
 Training is data-parallel: in each of ``ROUNDS`` rounds every partition takes its own share of its windows, each window in
-exactly one round, and the mean of the partitions' weights goes on. What reaches the driver is of fixed size.
+exactly one round, and the mean of the partitions' weights goes on: of the vectors of ids and decisions, which only windows
+with them move, the mean of the changes. What reaches the driver is of fixed size.
 
 Words travel once, in columns: each batch of texts sends its words by hash bucket, with their spelling's logarithm in single
-precision (sums of probabilities are taken between logarithms, so no word is too long); a bucket counts, and sends back sums for each document, also of the base score (smoothed unigrams of the words).
+precision (sums of probabilities are taken between logarithms, so no word is too long); a bucket counts, and sends back sums
+for each document, also of the base score (smoothed unigrams of the words).
 
 Every row of the input is scored for itself, repeated rows too; null texts are empty (the end id only); a null doc_id is
 never held out; extra columns are ignored. With no training rows counts are zero and shares uniform. An empty table gives
@@ -36,10 +37,13 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import glob
 import math
+import os
 import struct
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,9 +57,11 @@ from .subwords import BLANKS, begins_with_space, default_path, plain_ids
 
 CLASSES, OWN, FINER, DIM = 24, 8, 61, 12
 LENGTH, STRIDE, BATCH = 24, 20, 300
-ROUNDS, RATE = 2, 0.01
+ROUNDS, RATE, ROW_RATE = 2, 0.01, 0.03
 END = 50256
 _COUNT_SLICE = 1 << 15
+#: How far an output vector's parts go from zero: hidden states are within 1, so logits are within 60, and exp() is safe.
+FAR = 60 / DIM
 
 
 # ---- one pass over the texts: ids -------------------------------------------------------------------------------------
@@ -102,11 +108,16 @@ def _read_texts(tokenizer: str):
 # ---- words, as runs of ids that begin at a starter -------------------------------------------------------------------
 
 
+@lru_cache(1)
+def _mixed_ids() -> np.ndarray:
+    return mix(np.arange(1 << 16, dtype=U64) + U64(1))
+
+
 def _word_keys(y: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the runs y[begin:end]."""
     up, down = _powers(BASES[1], 1 << max(20, int(len(y)).bit_length()))
     sums = np.zeros(len(y) + 1, U64)
-    np.cumsum(mix(y.astype(U64) + U64(1)) * up[: len(y)], out=sums[1:])
+    np.cumsum(_mixed_ids().take(y) * up[: len(y)], out=sums[1:])
     return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(U64))
 
 
@@ -264,7 +275,7 @@ class Known:
 
 
 class Model:
-    """Class and finer class of each id, log shares inside finer classes, counted bigrams, and the attention layer's weights."""
+    """Class and finer class of each id, log shares inside finer classes, counted bigrams, and the network's weights."""
 
     def __init__(self, ids: np.ndarray, starts: np.ndarray, classes: int = CLASSES, own: int = OWN, dim: int = DIM, finer: int = FINER):
         order = np.lexsort((np.arange(len(ids)), -ids))
@@ -283,6 +294,7 @@ class Model:
         self.up = np.concatenate((np.arange(own), own + np.arange(2 * shared * finer) // finer))
         per = np.bincount(self.fine, weights=ids + 1.0, minlength=self.fines)
         self.share = np.log((ids + 1.0) / per[self.fine]).astype(np.float32)
+        self._plant(ids + 1.0)
         rng = np.random.Generator(np.random.PCG64(11))
         small = lambda *s: (rng.standard_normal(s) * 0.3).astype(np.float32)
         self.starts = starts
@@ -290,6 +302,44 @@ class Model:
         self.sides[np.setdiff1d(np.arange(classes), self.of[starts]), 1] = 0
         self.set_bigram(np.zeros((self.fines, self.fines)), per)
         self.weights = {"e": small(classes, dim), "q": small(dim, dim), "k": small(dim, dim), "v": small(dim, dim), "o": small(dim, dim), "w": small(dim, dim), "b": np.zeros(dim, np.float32), "u": np.zeros((dim, classes), np.float32), "near": np.zeros(LENGTH, np.float32)}
+        #: What attention adds below the classes: output vectors of finer classes; each id's own input vector, then the output
+        #: vectors of decisions. All start at zero, where counts alone speak.
+        self.finer = np.zeros((self.fines, dim), np.float32)
+        self.rows = np.zeros((len(ids) + len(self.left), dim), np.float32)
+
+    def _plant(self, mass: np.ndarray) -> None:
+        """A binary tree over the ids of each finer class: ``depth`` of an id's class's tree, its ``leaf``, its ``tree``'s first
+        node, and ``left``, each node's counted share that goes left. Node k's children are 2k and 2k + 1, the root is 1."""
+        order = np.argsort(self.fine, kind="stable")
+        many = np.bincount(self.fine, minlength=self.fines)
+        begin = np.cumsum(many) - many
+        depth = np.ceil(np.log2(np.maximum(many, 1))).astype(np.int64)
+        first = np.cumsum(1 << depth) - (1 << depth)
+        self.depth, self.tree = depth[self.fine].astype(np.uint8), first[self.fine].astype(np.int32)
+        self.leaf = np.zeros(len(mass), np.int32)
+        self.leaf[order] = np.arange(len(mass)) - begin[self.fine[order]]
+        leaves = np.zeros(int((1 << depth).sum()))
+        leaves[self.tree + self.leaf] = mass
+        self.left = np.ones(len(leaves))
+        for d in np.unique(depth[depth > 0]).tolist():
+            at = first[depth == d][:, None]
+            level = leaves[at + np.arange(1 << d)]
+            for up in range(d - 1, -1, -1):
+                pairs = level.reshape(len(at), -1, 2)
+                level = pairs.sum(-1)
+                self.left[at + np.arange(1 << up, 2 << up)] = np.where(level > 0, pairs[:, :, 0] / np.maximum(level, 1e-300), 1)
+
+    def decisions(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of ids y: for every decision on the way to one whose y it is, its node, 1 where it goes left and -1 where right, and
+        the counted share of the other way."""
+        depth = self.depth.take(y).astype(np.int32)
+        who = np.repeat(np.arange(len(y), dtype=np.int32), depth)
+        down = (np.cumsum(depth, dtype=np.int32).take(who) - np.arange(len(who), dtype=np.int32)).astype(np.int32)
+        leaf = self.leaf.take(y).take(who) + (1 << depth).take(who)
+        node = self.tree.take(y).take(who) + (leaf >> down)
+        right = leaf >> (down - 1) & 1
+        left = self.left.take(node)
+        return who, node, (1 - 2 * right).astype(np.float32), np.where(right, left, 1 - left)
 
     def set_bigram(self, counts: np.ndarray, one: np.ndarray | None = None) -> None:
         """From counts of finer classes after finer classes: ``bigram`` of classes, and ``inner``, the logarithm of a finer
@@ -301,7 +351,10 @@ class Model:
         whole = np.add.reduceat(one, begin)
         self.bigram = ((pairs + 20 * whole / whole.sum()) / (pairs.sum(1, keepdims=True) + 20)).astype(np.float32)
         after = np.add.reduceat(counts, begin, 1)[:, self.up]
-        self.inner = np.log((counts + 20 * (one / whole[self.up])) / (after + 20)).astype(np.float32)
+        given = ((counts + 20 * (one / whole[self.up])) / (after + 20)).astype(np.float32)
+        self.inner = np.log(given)
+        #: The same shares, a table for each class.
+        self.given = [np.ascontiguousarray(given[:, a:b]) for a, b in zip(begin, [*begin[1:], self.fines])]
 
     def shares(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The logarithm of the share of each id y in its class, after x."""
@@ -317,7 +370,11 @@ _BACK = np.maximum(_DISTANCE, 0)
 
 def steady_heap() -> None:
     """Lets freed arrays of a step serve the next one instead of going back to the system and being zeroed again; lean()
-    returns them when the task ends."""
+    returns them when the task ends. Keeps small products on the task's own core: numpy's OpenBLAS has a thread for each core
+    of the executor, and they wait for each other by spinning."""
+    for path in glob.glob(os.path.join(os.path.dirname(np.__file__), "..", "numpy.libs", "*openblas*")):
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(path).scipy_openblas_set_num_threads64_(1)
     with contextlib.suppress(OSError, AttributeError):
         libc = ctypes.CDLL(None)
         libc.mallopt(-3, 64 << 20)  # M_MMAP_THRESHOLD
@@ -325,26 +382,28 @@ def steady_heap() -> None:
 
 
 class Tables:
-    """What the layer makes of each class: its attention to every other (and to none, the last column, before a text), its
-    value with a one for the sum, and its part of the hidden state."""
+    """What the layer makes of each symbol: query, key, value with a one for the sum, and its part of the hidden state. Symbols
+    are the rows of w["e"], classes or ids; the one after them stands before a text."""
 
-    def __init__(self, w: dict):
+    def __init__(self, w: dict, by_id: bool = False):
         dim = w["q"].shape[0]
-        self.classes = len(w["e"])
+        self.symbols, self.by_id = len(w["e"]), by_id
         one = w["e"].dtype.type(1)
-        self.eq, self.ek = w["e"] @ w["q"], w["e"] @ w["k"]
-        logits = (self.eq @ self.ek.T) * (one / np.sqrt(one * dim))
-        self.pull = np.hstack((np.exp(np.clip(logits, -40, 40)), np.zeros((self.classes, 1), logits.dtype))).ravel()
-        self.near = np.where(_SEEN, np.exp(w["near"][_BACK]), 0).astype(logits.dtype)
-        self.value = np.zeros((self.classes + 1, dim + 1), logits.dtype)
+        none = np.zeros((1, dim), w["e"].dtype)
+        self.ask = (w["e"] @ w["q"]) * (one / np.sqrt(one * dim))
+        self.key = np.vstack((w["e"] @ w["k"], none))
+        self.near = np.where(_SEEN, np.exp(w["near"][_BACK]), 0).astype(none.dtype)
+        self.value = np.zeros((self.symbols + 1, dim + 1), none.dtype)
         self.value[:-1, :-1], self.value[:-1, -1] = w["e"] @ w["v"], 1
         self.own, self.mixing = w["e"] @ w["w"] + w["b"], w["o"] @ w["w"]
 
     def hidden(self, x: np.ndarray):
-        """Of windows of classes x (n, LENGTH): hidden states of the queries, and what the gradient needs."""
+        """Of windows of symbols x (n, LENGTH): hidden states of the queries, and what the gradient needs."""
         n, q = len(x), x[:, LENGTH - STRIDE :]
-        cell = (q * (self.classes + 1))[:, :, None] + x[:, None, :]
-        a = self.pull.take(cell)
+        ask, key = self.ask.take(q, 0), self.key.take(x, 0)
+        a = ask @ key.transpose(0, 2, 1)
+        np.clip(a, -40, 40, out=a)
+        np.exp(a, out=a)
         a *= self.near
         values = self.value.take(x, 0)
         mixed = a @ values
@@ -353,37 +412,118 @@ class Tables:
         h = mixed.reshape(n * STRIDE, -1) @ self.mixing
         h += self.own.take(q.ravel(), 0)
         np.tanh(h, out=h)
-        return h, (cell, a, total, values, mixed)
+        return h, (ask, key, a, total, values, mixed)
+
+
+def layer(model: Model) -> Tables:
+    """The layer over ids: an id's vector is its class's and its own."""
+    of = model.up.take(model.fine)
+    return Tables(model.weights | {"e": model.weights["e"].take(of, 0) + model.rows[: len(of)]}, by_id=True)
 
 
-def class_logs(model: Model, x: np.ndarray, y: np.ndarray, tables: Tables) -> tuple[np.ndarray, np.ndarray]:
-    """At every query of every window, natural logs of the probabilities of class y and of any class that begins a word."""
-    h, _ = tables.hidden(x)
+def class_logs(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of classes x before and classes y, with hidden states: natural logs of the probabilities of y and of any class that
+    begins a word."""
     p = h @ model.weights["u"]
     np.exp(p, out=p)
-    p *= model.bigram.take(x[:, LENGTH - STRIDE :].ravel(), 0)
+    p *= model.bigram.take(x, 0)
     both = p @ model.sides
-    picked = p[np.arange(len(p)), y.ravel()]
+    picked = p[np.arange(len(p)), y]
     total, tiny = both[:, 0], np.float32(1e-37)
-    return np.log(np.maximum(picked, tiny) / total).reshape(y.shape), np.log(np.maximum(both[:, 1], tiny) / total).reshape(y.shape)
+    return np.log(np.maximum(picked, tiny) / total), np.log(np.maximum(both[:, 1], tiny) / total)
+
+
+def _finer(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray, finer: np.ndarray):
+    """By class with finer ones: where the finer classes y in it are, their places among its finer ones, their hidden states,
+    the logits of these and the unnormalised probabilities after finer classes x, their sums, and which finer classes."""
+    of = model.up.take(y).astype(np.uint8)
+    order = np.argsort(of, kind="stable")
+    stop = np.cumsum(np.bincount(of, minlength=len(model.given))).tolist()
+    low = 0
+    for given, a, b in zip(model.given, [0, *stop], stop):
+        high = low + given.shape[1]
+        if b > a and high - low > 1:
+            at = order[a:b]
+            hidden, place = h.take(at, 0), y.take(at) - low
+            z = hidden @ finer[low:high].T
+            picked = z[np.arange(b - a), place]
+            np.exp(z, out=z)
+            z *= given.take(x.take(at), 0)
+            yield at, place, hidden, picked, z, z @ np.ones(high - low, z.dtype), slice(low, high)
+        low = high
+
+
+def id_logs(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Natural logs of the probabilities of ids y in their classes, after ids x, with hidden states."""
+    out = model.shares(x, y)
+    for at, _, _, picked, _, total, _ in _finer(model, model.fine.take(x), model.fine.take(y), h, model.finer):
+        out[at] += picked - np.log(total)
+    who, node, sign, other = model.decisions(y)
+    z = sign * np.einsum("ij,ij->i", h.take(who, 0), model.rows.take(node + len(model.of), 0))
+    return out - np.bincount(who, weights=np.log(1 - other + other * np.exp(-z)), minlength=len(y)).astype(out.dtype)
+
+
+def _numbered(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers below ``size`` in x, and x by their places; what is not below comes after all."""
+    there = np.zeros(size, bool)
+    there[x[x < size]] = True
+    some = np.flatnonzero(there)
+    place = np.full(size + 1, len(some), np.int32)
+    place[some] = np.arange(len(some))
+    return some, place.take(x)
+
+
+class Step:
+    """A batch of training targets as gradient() meets it: class frequencies after each symbol, and what is below classes."""
+
+    def __init__(self, model: Model, finer: np.ndarray, rows: np.ndarray, of: np.ndarray, x: np.ndarray, y: np.ndarray, on: np.ndarray):
+        self.model, self.finer, self.rows, self.x, self.y = model, finer, rows, x, y
+        self.after, self.on = model.bigram.take(of, 0), np.flatnonzero(on)
+        self.nodes = self.steps = None
+
+    def take(self, symbols: np.ndarray, axis: int) -> np.ndarray:
+        return self.after.take(symbols, axis)
+
+    def below(self, h: np.ndarray, g: dict) -> np.ndarray:
+        """Adds the finer classes' gradient to g, keeps the decisions', and returns that of h."""
+        model, size = self.model, max(1, len(self.on))
+        h, out = h.take(self.on, 0), np.zeros_like(h)
+        dh = np.zeros_like(h)
+        g["finer"] = np.zeros_like(self.finer)
+        for at, place, hidden, _, p, total, some in _finer(model, model.fine.take(self.x), model.fine.take(self.y), h, self.finer):
+            p[np.arange(len(at)), place] -= total
+            g["finer"][some] = p.T @ (hidden / (size * total)[:, None])
+            dh[at] = p @ self.finer[some] / total[:, None]
+        who, node, sign, other = model.decisions(self.y)
+        hidden, vector = h.take(who, 0), self.rows.take(node + len(model.of), 0)
+        push = other * np.exp(-sign * np.einsum("ij,ij->i", hidden, vector))
+        push = (-sign * push / (1 - other + push)).astype(h.dtype)
+        self.nodes, local = _numbered(node, len(model.left))
+        self.steps = _by_class(local, hidden * (push / size)[:, None], len(self.nodes))
+        some = np.flatnonzero(np.diff(who, prepend=-1))
+        if len(some):
+            dh[who[some]] += np.add.reduceat(vector * push[:, None], some, axis=0)
+        out[self.on] = dh / size
+        return out
 
 
 def _by_class(of: np.ndarray, rows: np.ndarray, classes: int) -> np.ndarray:
-    """Sums of the rows of each class."""
-    order = np.argsort(of.astype(np.uint8), kind="stable")
+    """Sums of the rows of each class (or symbol)."""
+    order = np.argsort(of.astype(np.uint16) if classes <= 1 << 16 else of, kind="stable")
     count = np.bincount(of, minlength=classes)
     some = np.flatnonzero(count)
     out = np.zeros((classes, rows.shape[1]), rows.dtype)
-    out[some] = np.add.reduceat(rows.take(order, 0), np.cumsum(count[some]) - count[some], axis=0)
+    if len(some):
+        out[some] = np.add.reduceat(rows.take(order, 0), np.cumsum(count[some]) - count[some], axis=0)
     return out
 
 
-def gradient(w: dict, bigram: np.ndarray, x: np.ndarray, y: np.ndarray, on: np.ndarray) -> dict:
-    """Of the mean negative log probability over queries that are on."""
+def gradient(w: dict, bigram: np.ndarray | Step, x: np.ndarray, y: np.ndarray, on: np.ndarray) -> dict:
+    """Of the mean negative log probability over queries that are on: of classes y, and of the ids in them with a Step."""
     t = Tables(w)
-    classes, dim = t.classes, w["q"].shape[0]
+    classes, dim = w["u"].shape[1], w["q"].shape[0]
     q = x[:, LENGTH - STRIDE :]
-    h, (cell, a, total, values, mixed) = t.hidden(x)
+    h, (ask, key, a, total, values, mixed) = t.hidden(x)
     p = h @ w["u"]
     np.exp(p, out=p)
     p *= bigram.take(q.ravel(), 0)
@@ -391,22 +531,31 @@ def gradient(w: dict, bigram: np.ndarray, x: np.ndarray, y: np.ndarray, on: np.n
     p *= (share / (p @ np.ones(classes, p.dtype)))[:, None]
     p[np.arange(len(p)), y.ravel()] -= share
     g = {"u": h.T @ p}
-    dh = (p @ w["u"].T) * (1 - h * h)
-    d_own = _by_class(q.ravel(), dh, classes)
+    dh = p @ w["u"].T
+    if isinstance(bigram, Step):
+        dh += bigram.below(h, g)
+    dh *= 1 - h * h
     d_mixing = mixed.reshape(-1, dim).T @ dh
     dm = (dh @ t.mixing.T).reshape(mixed.shape)
     a /= total
-    d_value = _by_class(x.ravel(), (a.transpose(0, 2, 1) @ dm).reshape(-1, dim), classes + 1)
+    early = np.flatnonzero(x[:, 0] == t.symbols)  # windows that begin before their texts
+    a[early] *= (x[early] != t.symbols)[:, None, :]
+    d_value = (a.transpose(0, 2, 1) @ dm).reshape(-1, dim)
     ds = dm @ values[:, :, :-1].transpose(0, 2, 1)
-    ds -= (dm * mixed).sum(-1, keepdims=True)
+    ds -= np.einsum("ijk,ijk->ij", dm, mixed)[:, :, None]
     ds *= a
-    d_pull = np.bincount(cell.ravel(), weights=ds.ravel(), minlength=classes * (classes + 1)).reshape(classes, -1)[:, :-1]
-    d_pull = (d_pull / np.sqrt(dim)).astype(h.dtype)
     g["near"] = np.bincount(_BACK.ravel(), weights=(ds.sum(0) * _SEEN).ravel(), minlength=LENGTH)
-    d_eq, d_ek, d_value = d_pull @ t.ek, d_pull.T @ t.eq, d_value[:-1]
-    g["q"], g["k"], g["v"] = w["e"].T @ d_eq, w["e"].T @ d_ek, w["e"].T @ d_value
-    g["w"], g["b"], g["o"] = w["e"].T @ d_own + w["o"].T @ d_mixing, d_own.sum(0), d_mixing @ w["w"].T
-    g["e"] = d_eq @ w["q"].T + d_ek @ w["k"].T + d_value @ w["v"].T + d_own @ w["w"].T
+    d_ask = (ds @ key).reshape(-1, dim) / np.sqrt(h.dtype.type(dim))
+    d_key = (ds.transpose(0, 2, 1) @ ask).reshape(-1, dim)
+    e = np.vstack((w["e"], np.zeros((1, dim), h.dtype)))
+    every, asking = e.take(x.ravel(), 0), e.take(q.ravel(), 0)
+    d_both = np.hstack((d_key, d_value))
+    d_own = asking.T @ dh
+    g["q"], (g["k"], g["v"]) = asking.T @ d_ask, np.hsplit(every.T @ d_both, 2)
+    g["w"], g["b"], g["o"] = d_own + w["o"].T @ d_mixing, dh.sum(0), d_mixing @ w["w"].T
+    d_every = d_both @ np.vstack((w["k"].T, w["v"].T))
+    d_every.reshape(*x.shape, dim)[:, LENGTH - STRIDE :] += (np.hstack((d_ask, dh)) @ np.vstack((w["q"].T, w["w"].T))).reshape(*q.shape, dim)
+    g["e"] = _by_class(x.ravel(), d_every, t.symbols + 1)[:-1]
     return g
 
 
@@ -428,15 +577,17 @@ class Placed:
         self.x[self.begin] = END
         self.text, self.start = windows(self.lengths)
 
-    def batch(self, of: np.ndarray, none: int, some) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of some windows: input classes (``none`` outside the text), target classes, which targets there are, their places."""
+    def batch(self, of: np.ndarray, none: int, some, by_id: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of some windows: input classes or ids (``none`` outside the text), target classes, which targets there are, their
+        places."""
         t, s = self.text[some], self.start[some]
         left = np.maximum(self.begin[t], self.begin[t] + s - (LENGTH - STRIDE))
         at = (self.begin[t] + s)[:, None] + np.arange(STRIDE - LENGTH, STRIDE)
         stop = (self.begin[t] + self.lengths[t])[:, None]
         inside = (at >= left[:, None]) & (at < stop)
         at = np.clip(at, 0, len(self.x) - 1)
-        x = np.where(inside, of.take(self.x.take(at)).astype(np.int64), none)
+        x = self.x.take(at)
+        x = np.where(inside, x if by_id else of.take(x), np.int32(none))
         target, on = at[:, LENGTH - STRIDE :], inside[:, LENGTH - STRIDE :]
         x[:, LENGTH - STRIDE :][~on] = 0  # past the end: a query that nothing reads
         return x, of.take(self.y.take(target)).astype(np.int64), on, target
@@ -463,11 +614,12 @@ def token_logs(model: Model, ids: list[np.ndarray], tables: Tables):
     placed = Placed(ids)
     log, side = np.zeros(len(placed.y), np.float32), np.zeros(len(placed.y), np.float32)
     for k in range(0, len(placed.text), BATCH):
-        x, y, on, target = placed.batch(model.of, tables.classes, slice(k, k + BATCH))
-        a, b = class_logs(model, x, y, tables)
-        target = target[on]
-        log[target], side[target] = a[on], b[on]
-    log += model.shares(placed.x, placed.y)
+        x, y, on, target = placed.batch(model.of, tables.symbols, slice(k, k + BATCH), tables.by_id)
+        on, target = np.flatnonzero(on), target[on]
+        h = tables.hidden(x)[0].take(on, 0)
+        x, y = placed.x.take(target), placed.y.take(target)
+        log[target], side[target] = class_logs(model, model.of.take(x), model.of.take(y), h)
+        log[target] += id_logs(model, x, y, h)
     return placed.y.astype(np.int64), np.repeat(np.arange(len(ids)), placed.lengths), log.astype(np.float64), side.astype(np.float64)
 
 
@@ -476,7 +628,7 @@ def _score(model: Model, buckets: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steady_heap()
-        tables = Tables(model.weights)
+        tables = layer(model)
         for batch in batches:
             ids = _ids(batch)
             block, idx, held = np.asarray(batch.column("block")), np.asarray(batch.column("idx")).astype(np.int64), np.asarray(batch.column("held_out"))
@@ -582,40 +734,82 @@ def _views(flat: np.ndarray, like: dict) -> dict:
 
 
 def _train(model: Model, turn: int):
+    """Sums, by windows seen, of the weights of one pass over this turn's windows, and of the change of the rows of ids and
+    decisions (most are zero, and take no room)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         steady_heap()
-        flat = _flat(model.weights)
-        w = _views(flat, model.weights)
-        first, second = np.zeros_like(flat), np.zeros_like(flat)
+        like = model.weights | {"finer": model.finer}
+        flat, rows = _flat(like), model.rows.copy()
+        w = _views(flat, like)
+        first, second, met = np.zeros_like(flat), np.zeros_like(flat), np.full(len(rows), 1e-12, np.float32)
+        of, size = model.up.take(model.fine), len(model.of)
         step = seen = 0
+
+        def move(at: np.ndarray, g: np.ndarray) -> None:
+            met[at] += np.einsum("ij,ij->i", g, g) / g.shape[1]
+            rows[at] = np.clip(rows[at] - np.float32(ROW_RATE / (1 + turn)) * g / np.sqrt(met[at])[:, None], -FAR, FAR)
+
         for batch in batches:
             ids = _ids(batch)
             for a, b in _groups(ids, 2_000_000):
                 placed = Placed(ids[a:b])
                 pick = np.flatnonzero((np.arange(len(placed.text)) * 2654435761 >> 7) % ROUNDS == turn)
                 for k in range(0, len(pick), BATCH):
-                    x, y, on, _ = placed.batch(model.of, CLASSES, pick[k : k + BATCH])
-                    g = _flat(gradient(w, model.bigram, x, y, on.astype(np.float32))).astype(np.float32)
+                    x, y, on, target = placed.batch(model.of, size, pick[k : k + BATCH], by_id=True)
+                    some, x = _numbered(x, size)
+                    at = target[on]
+                    below = Step(model, w["finer"], rows, of[some], placed.x.take(at), placed.y.take(at), on)
+                    got = gradient(w | {"e": w["e"].take(of[some], 0) + rows[some]}, below, x, y, on.astype(np.float32))
+                    move(some, got["e"])
+                    if below.nodes is not None:
+                        move(below.nodes + size, below.steps)
+                    got["e"] = _by_class(of[some], got["e"], len(w["e"]))
+                    g = _flat(got).astype(np.float32)
                     step, seen = step + 1, seen + len(x)
                     first += np.float32(0.1) * (g - first)
                     second += np.float32(0.01) * (g * g - second)
                     rate = RATE / (1 + turn) * math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
                     flat -= np.float32(rate) * first / (np.sqrt(second) + np.float32(1e-8))
+                    for v in (w["u"], w["finer"]):
+                        np.clip(v, -FAR, FAR, out=v)
         if seen:
-            yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "n": pa.array([seen], pa.int64()), "w": pa.array([(flat.astype(np.float64) * seen).tobytes()], pa.binary())})
+            yield _weights_batch(seen, flat * np.float32(seen), (rows - model.rows) * np.float32(seen))
 
     return lean(run)
 
 
+def _weights_batch(n: int, flat: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    packed = zstandard.compress(np.concatenate((flat.ravel(), rows.ravel())).astype(np.float32).tobytes(), 1)
+    return pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64()), "w": pa.array([packed], pa.binary())})
+
+
+def _unpacked_weights(p: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(p), np.float32)
+
+
 @lean
 def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, n = None, 0
     for batch in batches:
         for k, p in zip(batch.column("n").to_pylist(), batch.column("w").to_pylist()):
-            part = np.frombuffer(p, np.float64)
+            part = _unpacked_weights(p).astype(np.float64)
             total, n = (part if total is None else total + part), n + k
     if n:
-        yield pa.RecordBatch.from_pydict({"part": pa.array([0], pa.int32()), "n": pa.array([n], pa.int64()), "w": pa.array([total.tobytes()], pa.binary())})
+        yield _weights_batch(n, total, np.zeros(0))
+
+
+def take_mean(model: Model, parts: list[tuple[int, bytes]]) -> bool:
+    """Moves the model to the mean of its parts (windows seen, packed sums); whether there are any."""
+    n = sum(k for k, _ in parts)
+    if n:
+        mean = sum(_unpacked_weights(p).astype(np.float64) for _, p in parts) / n
+        like = model.weights | {"finer": model.finer}
+        cut = sum(v.size for v in like.values())
+        got = _views(mean[:cut].astype(np.float32), like)
+        model.finer = got.pop("finer")
+        model.weights, model.rows = got, model.rows + mean[cut:].reshape(model.rows.shape).astype(np.float32)
+    return n > 0
 
 
 def train(rows: DataFrame, starts: np.ndarray) -> tuple[Model, np.ndarray]:
@@ -628,14 +822,13 @@ def train(rows: DataFrame, starts: np.ndarray) -> tuple[Model, np.ndarray]:
     pairs = _vectors(rows, _bigrams(model.fine, model.fines))
     if len(pairs):
         model.set_bigram(pairs.reshape(model.fines, -1).astype(np.float64))
-    fan = max(1, int(width(spark) ** 0.5))
     for turn in range(ROUNDS):
-        got = rows.mapInArrow(_train(model, turn), "part int, n long, w binary").repartition(fan).mapInArrow(_mean, "part int, n long, w binary").collect()  # at most `fan` rows
-        n = sum(r.n for r in got)
-        if not n:
+        means, fan = rows.mapInArrow(_train(model, turn), "part int, n long, w binary"), 8 * width(spark)
+        while fan > 4:  # a task adds some eight parts, and four of fixed size are left
+            fan = max(4, fan // 8)
+            means = means.repartition(fan).mapInArrow(_mean, "part int, n long, w binary")
+        if not take_mean(model, [(r.n, r.w) for r in means.collect()]):
             break
-        mean = sum(np.frombuffer(r.w, np.float64) for r in got) / n
-        model.weights = _views(mean.astype(np.float32), model.weights)
     return model, ids
 
 

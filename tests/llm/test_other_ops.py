@@ -304,6 +304,108 @@ def test_words_of_texts():
         assert n == len(words) == np.count_nonzero(starts[got]) and got.tolist() == want
 
 
+def id_model():
+    """With something learned at every level down to the ids, and vectors of the ids' own."""
+    model, rng = small_model()
+    model.finer = 0.5 * rng.standard_normal(model.finer.shape)
+    model.rows = 0.5 * rng.standard_normal(model.rows.shape)
+    return model, rng
+
+
+def plain_below(model, mass, h, node, size, ids):
+    """Probabilities of the ids under a node of a finer class's tree that has room for ``size``; leaves fill it from the left."""
+    if size == 1:
+        return np.ones(len(ids))
+    one, two = ids[: size // 2], ids[size // 2 :]
+    left = plain_below(model, mass, h, 2 * node, size // 2, one)
+    if not len(two):
+        return left
+    odds = mass[one].sum() / mass[two].sum() * math.exp(h @ model.rows[len(model.of) + model.tree[ids[0]] + node])
+    return np.concatenate((odds * left, plain_below(model, mass, h, 2 * node + 1, size // 2, two))) / (1 + odds)
+
+
+def plain_ids(model, x):
+    """Probabilities of every id after the ids x, by attention over the ids' vectors."""
+    w, i, size = model.weights, len(x) - 1, len(model.of)
+    e = [w["e"][model.of[a]] + model.rows[a] for a in x]
+    before = range(max(0, i - (i % lm.STRIDE) - (lm.LENGTH - lm.STRIDE)), i + 1)
+    pull = np.exp([e[i] @ w["q"] @ (e[j] @ w["k"]) / math.sqrt(len(e[i])) + w["near"][i - j] for j in before])
+    mixed = sum(p * (e[j] @ w["v"]) for p, j in zip(pull / pull.sum(), before))
+    h = np.tanh((mixed @ w["o"] + e[i]) @ w["w"] + w["b"])
+    top = np.exp(h @ w["u"]) * model.bigram[model.of[x[i]]]
+    finer = np.exp(h @ model.finer.T + model.inner[model.fine[x[i]]])
+    out, mass = np.zeros(size), np.arange(size) + 1.0
+    for f in range(model.fines):
+        ids = np.flatnonzero(model.fine == f)
+        if len(ids):
+            c = model.up[f]
+            out[ids] = top[c] / top.sum() * finer[f] / finer[model.up == c].sum() * plain_below(model, mass, h, 1, 1 << (len(ids) - 1).bit_length(), ids)
+    return out
+
+
+def test_attention_is_over_ids_and_reaches_every_id(monkeypatch):
+    model, rng = id_model()
+    monkeypatch.setattr(lm, "END", 299)
+    ids = [rng.integers(0, 300, n).astype(np.uint16) for n in (1, 30, 50)]
+    _, owner, log, _ = lm.token_logs(model, ids, lm.layer(model))
+    for k, x in enumerate(ids):
+        before = np.concatenate(([299], x[:-1])).astype(int)
+        plain = [plain_ids(model, before[: i + 1]) for i in range(len(x))]
+        assert [p.sum() for p in plain] == pytest.approx(np.ones(len(x)))
+        assert log[owner == k] == pytest.approx([math.log(p[a]) for p, a in zip(plain, x)], abs=1e-4)
+    # another id of the same classes, further back than a bigram reaches, changes what follows
+    x = ids[1].copy()
+    x[3] = next(a for a in range(300) if a != x[3] and model.fine[a] == model.fine[x[3]])
+    got = [lm.token_logs(model, [y], lm.layer(model))[2] for y in (x, ids[1])]
+    assert got[0][:3] == pytest.approx(got[1][:3]) and (abs(got[0] - got[1])[5:20] > 1e-5).all()
+
+
+def test_gradient_of_ids(monkeypatch):
+    model, rng = id_model()
+    monkeypatch.setattr(lm, "END", 299)
+    placed = lm.Placed([rng.integers(0, 299, n).astype(np.uint16) for n in (1, 30, 70)])
+    x, y, on, target = placed.batch(model.of, 300, slice(None), by_id=True)
+    on[2, 4] = False
+    at = target[on]
+    before, after = placed.x[at], placed.y[at]
+
+    def loss():
+        h = lm.layer(model).hidden(x)[0][on.ravel()]
+        return -(lm.class_logs(model, model.of[before], model.of[after], h)[0] + lm.id_logs(model, before, after, h)).mean()
+
+    step = lm.Step(model, model.finer, model.rows, model.of, before, after, on)
+    g = lm.gradient(model.weights | {"e": model.weights["e"][model.of] + model.rows[:300]}, step, x, y, on.astype(float))
+    rows = np.zeros_like(model.rows)
+    rows[:300], rows[300 + step.nodes] = g["e"], step.steps
+    g["e"] = lm._by_class(model.of, g["e"], 12)
+    for name, v, d in [(k, v, g[k]) for k, v in model.weights.items()] + [("finer", model.finer, g["finer"]), ("rows", model.rows, rows)]:
+        for i in rng.permutation(np.argwhere(d))[:6]:
+            i, keep = tuple(i), v[tuple(i)]
+            v[i] = keep + 1e-4
+            up = loss()
+            v[i] = keep - 1e-4
+            down = loss()
+            v[i] = keep
+            assert (up - down) / 2e-4 == pytest.approx(d[i], abs=3e-4), name
+
+
+def test_training_learns_ids_that_classes_hide():
+    """After a, b comes c; after d, b comes e: no class nor bigram of classes tells, only attention over ids."""
+    r = np.random.Generator(np.random.PCG64(5))
+    ids = [np.concatenate([((3000, 5000, 7000), (3001, 5000, 7001))[k] for k in r.integers(0, 2, 400)]).astype(np.uint16) for _ in range(60)]
+    counts = np.bincount(np.concatenate(ids), minlength=lm.END + 1) + np.arange(lm.END + 1) % 7
+    model = lm.Model(counts, np.arange(lm.END + 1) % 2 == 0)
+    model.fine[[3000, 3001]], model.fine[[7000, 7001]] = model.fine[3000], model.fine[7000]
+    model.of = model.up[model.fine].astype(np.uint8)
+    model._plant(counts + 1.0)
+    batch = pa.RecordBatch.from_pydict({"payload": pa.array([zstandard.compress(x.tobytes()) for x in ids], pa.binary())})
+    for turn in range(lm.ROUNDS):
+        lm.take_mean(model, [(out.column("n")[0].as_py(), out.column("w")[0].as_py()) for out in lm._train(model, turn)(iter([batch] * 20))])
+    h = lm.layer(model)
+    right, wrong = (lm.token_logs(model, [np.array([*start, 5000, 7000], np.uint16)], h)[2][-1] for start in ((3000,), (3001,)))
+    assert right > wrong + 0.1
+
+
 def test_training_takes_every_window_once(monkeypatch):
     r = np.random.Generator(np.random.PCG64(3))
     ids = [r.integers(0, 300, n).astype(np.uint16) for n in (1, 40, 700, 5000)]
