@@ -59,6 +59,8 @@ CLASSES, OWN, FINER, DIM = 24, 8, 61, 12
 LENGTH, STRIDE, BATCH = 24, 20, 300
 ROUNDS, RATE, ROW_RATE = 2, 0.01, 0.03
 END = 50256
+#: Windows that are scored at once.
+SCORED = 600
 _COUNT_SLICE = 1 << 15
 #: How far an output vector's parts go from zero: hidden states are within 1, so logits are within 60, and exp() is safe.
 FAR = 60 / DIM
@@ -166,8 +168,12 @@ def _send_words(starts: np.ndarray, buckets: int):
                 at = np.flatnonzero(starts[y])
                 begin = at[y[at] != END]
                 end = at[np.flatnonzero(y[at] != END) + 1]
-                keys, first, count = np.unique(_word_keys(y, begin, end), return_index=True, return_counts=True)
-                lead = y[begin[first]].astype(np.uint16)
+                keys = _word_keys(y, begin, end)
+                order = np.argsort(keys)
+                keys = keys[order]
+                first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
+                count, lead = np.diff(first, append=len(keys)), y[begin[order[first]]].astype(np.uint16)
+                keys = keys[first]
                 parts = _dealt(keys, buckets)
                 yield pa.RecordBatch.from_pydict({"bucket": pa.array([k for k, _, _ in parts], pa.int32()), "payload": pa.array([_columns(keys[x:z], lead[x:z], _least(count[x:z])) for _, x, z in parts], pa.binary())})
 
@@ -289,7 +295,7 @@ class Model:
             place = np.minimum(shared * finer * mass / (mass[-1] if len(mass) else 1), shared * finer - 1).astype(np.int64)
             self.of[some] = own + k * shared + place // finer
             self.fine[some] = own + k * shared * finer + place
-        self.fines = own + 2 * shared * finer
+        self.fines, self.own, self.width = own + 2 * shared * finer, own, finer
         #: The class of each finer class.
         self.up = np.concatenate((np.arange(own), own + np.arange(2 * shared * finer) // finer))
         per = np.bincount(self.fine, weights=ids + 1.0, minlength=self.fines)
@@ -328,18 +334,26 @@ class Model:
                 pairs = level.reshape(len(at), -1, 2)
                 level = pairs.sum(-1)
                 self.left[at + np.arange(1 << up, 2 << up)] = np.where(level > 0, pairs[:, :, 0] / np.maximum(level, 1e-300), 1)
-
-    def decisions(self, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of ids y: for every decision on the way to one whose y it is, its node, 1 where it goes left and -1 where right, and
-        the counted share of the other way."""
-        depth = self.depth.take(y).astype(np.int32)
-        who = np.repeat(np.arange(len(y), dtype=np.int32), depth)
-        down = (np.cumsum(depth, dtype=np.int32).take(who) - np.arange(len(who), dtype=np.int32)).astype(np.int32)
-        leaf = self.leaf.take(y).take(who) + (1 << depth).take(who)
-        node = self.tree.take(y).take(who) + (leaf >> down)
+        # the decisions of all ids, one id's after another's
+        deep = self.depth.astype(np.int64)
+        self.way = np.cumsum(deep) - deep
+        down = np.repeat(self.way + deep, deep) - np.arange(deep.sum())
+        leaf = np.repeat(self.leaf + (1 << deep), deep)
+        self.node = np.repeat(self.tree, deep) + (leaf >> down)
         right = leaf >> (down - 1) & 1
-        left = self.left.take(node)
-        return who, node, (1 - 2 * right).astype(np.float32), np.where(right, left, 1 - left)
+        left = self.left.take(self.node)
+        self.odds = np.stack((1 - 2 * right, np.where(right, 1 - left, left), np.where(right, left, 1 - left)), 1).astype(np.float32)
+
+    def decisions(self, y: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of ids y: those with decisions on the way to them, and where theirs begin; for every one whose y it is, its node, 1
+        where it goes left and -1 where right, and the counted shares of that way and of the other."""
+        depth = self.depth.take(y)
+        deep = np.flatnonzero(depth)
+        depth = depth.take(deep).astype(np.int64)
+        begin = np.cumsum(depth) - depth
+        at = np.repeat(self.way.take(y.take(deep)) - begin, depth)
+        at += np.arange(len(at))
+        return deep, begin, np.repeat(deep, depth), self.node.take(at), *self.odds.take(at, 0).T
 
     def set_bigram(self, counts: np.ndarray, one: np.ndarray | None = None) -> None:
         """From counts of finer classes after finer classes: ``bigram`` of classes, and ``inner``, the logarithm of a finer
@@ -353,8 +367,8 @@ class Model:
         after = np.add.reduceat(counts, begin, 1)[:, self.up]
         given = ((counts + 20 * (one / whole[self.up])) / (after + 20)).astype(np.float32)
         self.inner = np.log(given)
-        #: The same shares, a table for each class.
-        self.given = [np.ascontiguousarray(given[:, a:b]) for a, b in zip(begin, [*begin[1:], self.fines])]
+        #: The same shares inside shared classes: a row for each finer class before and shared class.
+        self.given = np.ascontiguousarray(given[:, self.own :]).reshape(-1, self.width)
 
     def shares(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """The logarithm of the share of each id y in its class, after x."""
@@ -428,48 +442,59 @@ def class_logs(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tup
     np.exp(p, out=p)
     p *= model.bigram.take(x, 0)
     both = p @ model.sides
-    picked = p[np.arange(len(p)), y]
+    picked = p.ravel().take(np.arange(len(p)) * p.shape[1] + y)
     total, tiny = both[:, 0], np.float32(1e-37)
     return np.log(np.maximum(picked, tiny) / total), np.log(np.maximum(both[:, 1], tiny) / total)
 
 
-def _finer(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray, finer: np.ndarray):
-    """By class with finer ones: where the finer classes y in it are, their places among its finer ones, their hidden states,
-    the logits of these and the unnormalised probabilities after finer classes x, their sums, and which finer classes."""
-    of = model.up.take(y).astype(np.uint8)
-    order = np.argsort(of, kind="stable")
-    stop = np.cumsum(np.bincount(of, minlength=len(model.given))).tolist()
-    low = 0
-    for given, a, b in zip(model.given, [0, *stop], stop):
-        high = low + given.shape[1]
-        if b > a and high - low > 1:
-            at = order[a:b]
-            hidden, place = h.take(at, 0), y.take(at) - low
-            z = hidden @ finer[low:high].T
-            picked = z[np.arange(b - a), place]
-            np.exp(z, out=z)
-            z *= given.take(x.take(at), 0)
-            yield at, place, hidden, picked, z, z @ np.ones(high - low, z.dtype), slice(low, high)
-        low = high
+class _Finer:
+    """Finer classes y after x in the order of their classes, and the finer ones' unnormalised probabilities (a row of ``p`` for
+    each y in a shared class; those come last, from ``own`` on) with hidden states h, given in that order by ``order``."""
+
+    def __init__(self, model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray, finer: np.ndarray):
+        of = model.up.astype(np.uint8).take(y)
+        self.order = np.argsort(of, kind="stable")
+        count = np.bincount(of, minlength=int(model.up[-1]) + 1)
+        self.own = own = int(count[: model.own].sum())
+        stop = np.cumsum(count[model.own :]).tolist()
+        self.parts = [(c, a, b) for c, (a, b) in enumerate(zip([0, *stop], stop)) if b > a]
+        self.h = h.take(self.order, 0)
+        shared = self.order[own:]
+        x, y, of = x.take(shared), y.take(shared).astype(np.int64), of.take(shared).astype(np.int64)
+        of -= model.own
+        self.cell = np.arange(len(y)) * model.width
+        self.cell += y - (model.own + of * model.width)
+        self.tables = finer[model.own :].reshape(-1, model.width, h.shape[1])
+        turned = np.ascontiguousarray(self.tables.transpose(0, 2, 1))
+        self.p = np.empty((len(y), model.width), h.dtype)
+        for c, a, b in self.parts:
+            np.matmul(self.h[own + a : own + b], turned[c], out=self.p[a:b])
+        self.picked = self.p.ravel().take(self.cell)
+        np.exp(self.p, out=self.p)
+        of += x.astype(np.int64) * len(turned)
+        self.p *= model.given.take(of, 0)
+        self.total = self.p @ np.ones(model.width, h.dtype)
 
 
 def id_logs(model: Model, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> np.ndarray:
     """Natural logs of the probabilities of ids y in their classes, after ids x, with hidden states."""
     out = model.shares(x, y)
-    for at, _, _, picked, _, total, _ in _finer(model, model.fine.take(x), model.fine.take(y), h, model.finer):
-        out[at] += picked - np.log(total)
-    who, node, sign, other = model.decisions(y)
-    z = sign * np.einsum("ij,ij->i", h.take(who, 0), model.rows.take(node + len(model.of), 0))
-    return out - np.bincount(who, weights=np.log(1 - other + other * np.exp(-z)), minlength=len(y)).astype(out.dtype)
+    at = _Finer(model, model.fine.take(x), model.fine.take(y), h, model.finer)
+    out[at.order[at.own :]] += at.picked - np.log(at.total)
+    deep, begin, who, node, sign, own, other = model.decisions(y)
+    if len(deep):
+        z = sign * np.einsum("ij,ij->i", h.take(who, 0), model.rows[len(model.of) :].take(node, 0))
+        out[deep] -= np.add.reduceat(np.log(own + other * np.exp(-z)), begin).astype(out.dtype)
+    return out
 
 
 def _numbered(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct numbers below ``size`` in x, and x by their places; what is not below comes after all."""
-    there = np.zeros(size, bool)
-    there[x[x < size]] = True
-    some = np.flatnonzero(there)
-    place = np.full(size + 1, len(some), np.int32)
-    place[some] = np.arange(len(some))
+    there = np.zeros(size + 1, bool)
+    there[x] = True
+    some = np.flatnonzero(there[:size])
+    place = np.empty(size + 1, np.intp)
+    place[some], place[size] = np.arange(len(some)), len(some)
     return some, place.take(x)
 
 
@@ -487,24 +512,42 @@ class Step:
     def below(self, h: np.ndarray, g: dict) -> np.ndarray:
         """Adds the finer classes' gradient to g, keeps the decisions', and returns that of h."""
         model, size = self.model, max(1, len(self.on))
-        h, out = h.take(self.on, 0), np.zeros_like(h)
-        dh = np.zeros_like(h)
-        g["finer"] = np.zeros_like(self.finer)
-        for at, place, hidden, _, p, total, some in _finer(model, model.fine.take(self.x), model.fine.take(self.y), h, self.finer):
-            p[np.arange(len(at)), place] -= total
-            g["finer"][some] = p.T @ (hidden / (size * total)[:, None])
-            dh[at] = p @ self.finer[some] / total[:, None]
-        who, node, sign, other = model.decisions(self.y)
-        hidden, vector = h.take(who, 0), self.rows.take(node + len(model.of), 0)
+        at = _Finer(model, model.fine.take(self.x), model.fine.take(self.y), h.take(self.on, 0), self.finer)
+        y, on = self.y.take(at.order), self.on.take(at.order)
+        back = np.full(len(h), len(on))
+        back[on] = np.arange(len(on))
+        h, p, total = at.h, at.p, at.total[:, None]
+        p.reshape(-1)[at.cell] -= at.total
+        scaled = h[at.own :] / total
+        dh = np.zeros((len(h) + 1, h.shape[1]), h.dtype)  # ends with zeros, for where nothing is on
+        below = dh[at.own : -1]
+        turned = np.zeros((len(at.tables), h.shape[1], model.width), h.dtype)
+        for c, a, b in at.parts:
+            np.matmul(scaled[a:b].T, p[a:b], out=turned[c])
+            np.matmul(p[a:b], at.tables[c], out=below[a:b])
+        below /= total
+        g["finer"] = np.vstack((np.zeros_like(self.finer[: model.own]), turned.transpose(0, 2, 1).reshape(-1, h.shape[1]) / size))
+        deep, begin, who, node, sign, own, other = model.decisions(y)
+        hidden, vector = h.take(who, 0), self.rows[len(model.of) :].take(node, 0)
         push = other * np.exp(-sign * np.einsum("ij,ij->i", hidden, vector))
-        push = (-sign * push / (1 - other + push)).astype(h.dtype)
+        push *= -sign / (own + push)
+        push = push.astype(h.dtype, copy=False)[:, None]
         self.nodes, local = _numbered(node, len(model.left))
-        self.steps = _by_class(local, hidden * (push / size)[:, None], len(self.nodes))
-        some = np.flatnonzero(np.diff(who, prepend=-1))
-        if len(some):
-            dh[who[some]] += np.add.reduceat(vector * push[:, None], some, axis=0)
-        out[self.on] = dh / size
-        return out
+        hidden *= push / size
+        self.steps = _by_class(local, hidden, len(self.nodes))
+        if len(deep):
+            vector *= push
+            dh[deep] += _runs(vector, begin)
+        dh /= size
+        return dh.take(back, 0)
+
+
+def _runs(rows: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each place on to the next. Two columns are added as one complex number: half as many loops."""
+    if rows.shape[1] % 2:
+        return np.add.reduceat(rows, begin, axis=0)
+    pairs = np.ascontiguousarray(rows).view(np.result_type(rows.dtype, np.complex64))
+    return np.add.reduceat(pairs, begin, axis=0).view(rows.dtype)
 
 
 def _by_class(of: np.ndarray, rows: np.ndarray, classes: int) -> np.ndarray:
@@ -514,7 +557,7 @@ def _by_class(of: np.ndarray, rows: np.ndarray, classes: int) -> np.ndarray:
     some = np.flatnonzero(count)
     out = np.zeros((classes, rows.shape[1]), rows.dtype)
     if len(some):
-        out[some] = np.add.reduceat(rows.take(order, 0), np.cumsum(count[some]) - count[some], axis=0)
+        out[some] = _runs(rows.take(order, 0), np.cumsum(count[some]) - count[some])
     return out
 
 
@@ -529,32 +572,34 @@ def gradient(w: dict, bigram: np.ndarray | Step, x: np.ndarray, y: np.ndarray, o
     p *= bigram.take(q.ravel(), 0)
     share = on.ravel() / max(1, on.sum())
     p *= (share / (p @ np.ones(classes, p.dtype)))[:, None]
-    p[np.arange(len(p)), y.ravel()] -= share
+    p.reshape(-1)[np.arange(len(p)) * classes + y.ravel()] -= share
     g = {"u": h.T @ p}
-    dh = p @ w["u"].T
+    dh = p @ np.ascontiguousarray(w["u"].T)
     if isinstance(bigram, Step):
         dh += bigram.below(h, g)
     dh *= 1 - h * h
     d_mixing = mixed.reshape(-1, dim).T @ dh
-    dm = (dh @ t.mixing.T).reshape(mixed.shape)
+    dm = (dh @ np.hstack((t.mixing.T, np.zeros((dim, 1), h.dtype)))).reshape(*q.shape, dim + 1)
     a /= total
     early = np.flatnonzero(x[:, 0] == t.symbols)  # windows that begin before their texts
     a[early] *= (x[early] != t.symbols)[:, None, :]
-    d_value = (a.transpose(0, 2, 1) @ dm).reshape(-1, dim)
-    ds = dm @ values[:, :, :-1].transpose(0, 2, 1)
-    ds -= np.einsum("ijk,ijk->ij", dm, mixed)[:, :, None]
+    d_value = (a.transpose(0, 2, 1) @ dm[:, :, :-1]).reshape(-1, dim)
+    np.negative(np.einsum("ijk,ijk->ij", dm[:, :, :-1], mixed), out=dm[:, :, -1])  # values end with a one
+    ds = dm @ values.transpose(0, 2, 1)
     ds *= a
     g["near"] = np.bincount(_BACK.ravel(), weights=(ds.sum(0) * _SEEN).ravel(), minlength=LENGTH)
-    d_ask = (ds @ key).reshape(-1, dim) / np.sqrt(h.dtype.type(dim))
+    scale = 1 / np.sqrt(h.dtype.type(dim))
+    d_ask = (ds @ key).reshape(-1, dim)
     d_key = (ds.transpose(0, 2, 1) @ ask).reshape(-1, dim)
     e = np.vstack((w["e"], np.zeros((1, dim), h.dtype)))
     every, asking = e.take(x.ravel(), 0), e.take(q.ravel(), 0)
-    d_both = np.hstack((d_key, d_value))
-    d_own = asking.T @ dh
-    g["q"], (g["k"], g["v"]) = asking.T @ d_ask, np.hsplit(every.T @ d_both, 2)
-    g["w"], g["b"], g["o"] = d_own + w["o"].T @ d_mixing, dh.sum(0), d_mixing @ w["w"].T
-    d_every = d_both @ np.vstack((w["k"].T, w["v"].T))
-    d_every.reshape(*x.shape, dim)[:, LENGTH - STRIDE :] += (np.hstack((d_ask, dh)) @ np.vstack((w["q"].T, w["w"].T))).reshape(*q.shape, dim)
+    g["q"], g["k"], g["v"] = asking.T @ d_ask * scale, every.T @ d_key, every.T @ d_value
+    g["w"], g["b"], g["o"] = asking.T @ dh + w["o"].T @ d_mixing, np.ones(len(dh), dh.dtype) @ dh, d_mixing @ w["w"].T
+    turn = {c: np.ascontiguousarray(w[c].T) for c in "qkvw"}
+    d_every, d_asking = d_key @ turn["k"], d_ask @ (turn["q"] * scale)
+    d_every += d_value @ turn["v"]
+    d_asking += dh @ turn["w"]
+    d_every.reshape(*x.shape, dim)[:, LENGTH - STRIDE :] += d_asking.reshape(*q.shape, dim)
     g["e"] = _by_class(x.ravel(), d_every, t.symbols + 1)[:-1]
     return g
 
@@ -587,7 +632,7 @@ class Placed:
         inside = (at >= left[:, None]) & (at < stop)
         at = np.clip(at, 0, len(self.x) - 1)
         x = self.x.take(at)
-        x = np.where(inside, x if by_id else of.take(x), np.int32(none))
+        x = np.where(inside, x if by_id else of.take(x), np.intp(none))
         target, on = at[:, LENGTH - STRIDE :], inside[:, LENGTH - STRIDE :]
         x[:, LENGTH - STRIDE :][~on] = 0  # past the end: a query that nothing reads
         return x, of.take(self.y.take(target)).astype(np.int64), on, target
@@ -613,8 +658,8 @@ def token_logs(model: Model, ids: list[np.ndarray], tables: Tables):
     """Of several texts one after another: ids y, owners, log P(id | before), and log P(a word begins | before)."""
     placed = Placed(ids)
     log, side = np.zeros(len(placed.y), np.float32), np.zeros(len(placed.y), np.float32)
-    for k in range(0, len(placed.text), BATCH):
-        x, y, on, target = placed.batch(model.of, tables.symbols, slice(k, k + BATCH), tables.by_id)
+    for k in range(0, len(placed.text), SCORED):
+        x, y, on, target = placed.batch(model.of, tables.symbols, slice(k, k + SCORED), tables.by_id)
         on, target = np.flatnonzero(on), target[on]
         h = tables.hidden(x)[0].take(on, 0)
         x, y = placed.x.take(target), placed.y.take(target)

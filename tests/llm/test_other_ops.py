@@ -360,6 +360,43 @@ def test_attention_is_over_ids_and_reaches_every_id(monkeypatch):
     assert got[0][:3] == pytest.approx(got[1][:3]) and (abs(got[0] - got[1])[5:20] > 1e-5).all()
 
 
+def test_finer_classes_of_a_batch_at_once():
+    model, rng = id_model()
+    before, after = rng.integers(0, 300, (2, 90))
+    h = np.tanh(rng.standard_normal((90, 4)))
+    at = lm._Finer(model, model.fine[before], model.fine[after], h, model.finer)
+    assert sorted(at.order) == list(range(90)) and (np.diff(model.of[after[at.order]].astype(int)) >= 0).all()
+    assert (model.of[after[at.order[: at.own]]] < 6).all() and len(at.p) == 90 - at.own > 0
+    for i, p, picked, total, cell in zip(at.order[at.own :], at.p, at.picked, at.total, at.cell):
+        inside = np.flatnonzero(model.up == model.of[after[i]])
+        want = np.exp(model.finer[inside] @ h[i] + model.inner[model.fine[before[i]], inside])
+        assert p == pytest.approx(want, rel=1e-5) and total == pytest.approx(want.sum(), rel=1e-5)
+        assert picked == pytest.approx(model.finer[model.fine[after[i]]] @ h[i]) and at.p.ravel()[cell] == p[inside == model.fine[after[i]]]
+
+
+def test_decisions_of_ids_with_little_weight():
+    """The share of a decision's own way is kept beside the other's, where one less the other would be zero."""
+    counts = np.ones(300)
+    counts[::3] = 1e9
+    model = lm.Model(counts, np.arange(300) % 2 == 0, classes=12, own=6, dim=4, finer=3)
+    deep, begin, who, node, sign, own, other = model.decisions(np.arange(300))
+    assert (own > 0).all() and own + other == pytest.approx(np.ones(len(own)), abs=1e-6) and own.min() < 1e-7
+    assert (who[begin] == deep).all() and (np.bincount(who, minlength=300) == model.depth).all()
+    assert (model.left[node] == pytest.approx(np.where(sign > 0, own, other), abs=1e-6)) and set(sign) == {1, -1}
+    share = np.ones(300)
+    np.multiply.at(share, who, own)
+    assert np.bincount(model.fine, weights=share) == pytest.approx(np.ones(model.fines), abs=1e-4)
+
+
+def test_sums_of_runs():
+    rng = np.random.Generator(np.random.PCG64(4))
+    begin = np.array([0, 1, 5, 6])
+    for kind, columns in itertools.product((np.float32, np.float64), (3, 4)):
+        rows = rng.standard_normal((9, columns)).astype(kind)
+        got = lm._runs(rows, begin)
+        assert got.dtype == kind and got == pytest.approx(np.array([x.sum(0) for x in np.split(rows, begin[1:])]), abs=1e-5)
+
+
 def test_gradient_of_ids(monkeypatch):
     model, rng = id_model()
     monkeypatch.setattr(lm, "END", 299)
